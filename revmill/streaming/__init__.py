@@ -1,0 +1,2 @@
+"""Intentionally empty: the work is a monthly batch. No operator here has an
+unbounded input, so there is no watermark, no stream window and no state."""
