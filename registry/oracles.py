@@ -386,8 +386,10 @@ ORACLES: dict[str, str] = {
             CAST(CAST(DATE_TRUNC('year', d) AS DATE) AS VARCHAR) AS ytd_start
         FROM days""",
     "numeric_columns": " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COUNT({c}) AS count_non_null FROM lineitem"
-        for c in LINEITEM_NUMBERS
+        f"""SELECT '{c}' AS column_name, '{kind}' AS data_type,
+            COUNT(*) FILTER ({c} IS NULL) AS null_count FROM lineitem"""
+        for c, kind in LINEITEM_TYPES
+        if kind in ("bigint", "int", "double")
     ),
     "customers_with_traffic": f"""
         WITH {CUSTOMERS}, {TRAFFIC}

@@ -261,8 +261,8 @@ def period_bounds(spark, sf_dir):
 def numeric_columns(spark, sf_dir):
     lineitem = star.table(spark, sf_dir, "lineitem")
     names = profile.numeric_columns(lineitem.schema)
-    return profile.profile(lineitem.select(*names), names).select(
-        "column_name", "count_non_null"
+    return sinks.describe_table(lineitem.select(*names)).select(
+        "column_name", "data_type", "null_count"
     )
 
 
@@ -585,4 +585,4 @@ def monthly_run(spark, sf_dir):
     }
     for name, (df, schema) in raw.items():
         sinks.write_csv(df.select(*schema.names), f"{in_dir}/{name}.csv")
-    return monthly.monthly_run(spark, in_dir, out_dir, RUN_TIME)
+    return monthly.monthly_run(spark, in_dir, out_dir, RUN_TIME, fill_defaults=True)

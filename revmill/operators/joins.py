@@ -1,6 +1,6 @@
 """Joins of large facts to dimensions that are unique on their key.
 
-A fact key may hold any share of the rows. A dimension counted to be small is
+A fact key may hold any share of the rows. A dimension measured to be small is
 broadcast; any other join spreads the fact rows of each key over several tasks.
 """
 
@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-# Rows up to which a dimension of a few columns is copied to every executor.
-BROADCAST_ROWS = 200_000
+# Bytes up to which a dimension is copied to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes per row that a hash table needs beside the values.
+ROW_OVERHEAD = 32
 # Tasks over which the rows of one key are spread otherwise.
 SPREAD = 16
 
@@ -18,9 +21,21 @@ UNKNOWN_ACCOUNT = "unknown account"
 UNKNOWN_CHANNEL = "unknown channel"
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table was counted to hold at most ``max_rows`` rows."""
-    return df.count() <= max_rows
+def measured_bytes(df: DataFrame) -> int:
+    """The size of a table in memory, summed over its rows in one pass."""
+    fixed = ROW_OVERHEAD
+    text = []
+    for f in df.schema:
+        if isinstance(f.dataType, StringType | BinaryType):
+            text.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        fixed += 8
+    width = sum(text, F.lit(fixed).cast("long"))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the table was measured to be small enough to broadcast."""
+    return measured_bytes(df) <= max_bytes
 
 
 def lookup(
@@ -29,7 +44,7 @@ def lookup(
     on: str,
     how: str = "inner",
     spread_by: list[str] | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Joins every fact row to its dimension row: ``how`` is inner, left, left_semi or left_anti.
 
@@ -38,25 +53,30 @@ def lookup(
     (``spread_by``, by default the whole row), so a hot key is shared by SPREAD tasks and
     a retried task computes the same salt again.
     """
-    if fits(dim.select(on), max_broadcast_rows):
-        return facts.join(F.broadcast(dim), on, how)
+    if fits(dim, max_broadcast):
+        return _in_order(facts.join(F.broadcast(dim), on, how), facts, how)
     salt = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(SPREAD)).cast("int")
     salts = F.array(*[F.lit(i) for i in range(SPREAD)])
     joined = facts.withColumn("_salt", salt).join(
         dim.withColumn("_salt", F.explode(salts)), [on, "_salt"], how
     )
-    return joined.drop("_salt")
+    return _in_order(joined.drop("_salt"), facts, how)
+
+
+def _in_order(joined: DataFrame, facts: DataFrame, how: str) -> DataFrame:
+    """A filtering join leaves the columns as they were."""
+    return joined.select(facts.columns) if how in ("left_semi", "left_anti") else joined
 
 
 def where_in(
     df: DataFrame,
     keys: DataFrame,
     key: str,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
     wanted = keys.select(key).distinct()
-    return lookup(df, wanted, key, "left_semi", max_broadcast_rows=max_broadcast_rows)
+    return lookup(df, wanted, key, "left_semi", max_broadcast=max_broadcast)
 
 
 def with_facts(
@@ -64,7 +84,7 @@ def with_facts(
     facts: DataFrame,
     key: str,
     how: str = "left",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Dimension rows with their facts; ``how="left"`` keeps dimension rows without any.
 
@@ -72,7 +92,7 @@ def with_facts(
     the streamed side of the join, and unmatched keys are found on distinct keys.
     """
     columns = dim.columns + [c for c in facts.columns if c != key]
-    matched = lookup(facts, dim, key, max_broadcast_rows=max_broadcast_rows).select(columns)
+    matched = lookup(facts, dim, key, max_broadcast=max_broadcast).select(columns)
     if how == "inner":
         return matched
     if how != "left":
@@ -86,7 +106,7 @@ def resolve_keys(
     customers: DataFrame,
     channels: DataFrame,
     spread_by: list[str] | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Facts with ``customer_id`` looked up by ``account_id``; a fact whose account or
     channel is unknown is left out. Channels are few, so they filter first."""
@@ -96,10 +116,10 @@ def resolve_keys(
         "channel_id",
         "left_semi",
         spread_by,
-        max_broadcast_rows,
+        max_broadcast,
     )
     accounts = customers.select("account_id", "customer_id")
-    return lookup(known, accounts, "account_id", "inner", spread_by, max_broadcast_rows)
+    return lookup(known, accounts, "account_id", "inner", spread_by, max_broadcast)
 
 
 def rejects(
@@ -107,13 +127,13 @@ def rejects(
     customers: DataFrame,
     channels: DataFrame,
     spread_by: list[str] | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The facts that ``resolve_keys`` leaves out, whole, with the first reason that applies."""
     accounts = customers.select("account_id", F.lit(True).alias("_account"))
     known = channels.select("channel_id", F.lit(True).alias("_channel"))
-    marked = lookup(facts, known, "channel_id", "left", spread_by, max_broadcast_rows)
-    marked = lookup(marked, accounts, "account_id", "left", spread_by, max_broadcast_rows)
+    marked = lookup(facts, known, "channel_id", "left", spread_by, max_broadcast)
+    marked = lookup(marked, accounts, "account_id", "left", spread_by, max_broadcast)
     reason = F.when(F.col("_account").isNull(), F.lit(UNKNOWN_ACCOUNT)).when(
         F.col("_channel").isNull(), F.lit(UNKNOWN_CHANNEL)
     )

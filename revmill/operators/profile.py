@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, NumericType, StructType
 
-from .quantiles import exact_percentiles
+from .quantiles import exact_percentiles, percentile_sketches
 
 
 def is_id(name: str) -> bool:
@@ -27,42 +27,59 @@ def numeric_columns(
     return [f.name for f in schema if isinstance(f.dataType, wanted) and not skip(f.name)]
 
 
+# Names and types of a profile row.
+ROW = """column_name string, min_value double, max_value double, mean_value double,
+    median_value double, std_deviation double, count_non_null bigint, count_total bigint"""
+
+
+def _statistics(column: str) -> dict[str, Column]:
+    return {
+        "min_value": F.min(column).cast("double"),
+        "max_value": F.max(column).cast("double"),
+        "mean_value": F.avg(column).cast("double"),
+        "std_deviation": F.stddev(column).cast("double"),
+        "count_non_null": F.count(column),
+        "count_total": F.count("*"),
+    }
+
+
 def profile(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
     """One row per column: min, max, mean, median, sample deviation and counts, all
-    columns in one pass over the data. The median is the sketch's, or the exact
-    discrete one, which takes further passes on the columns alone."""
+    columns in one pass over the data. The median is the sketch's. With ``exact`` it is
+    the discrete one; the same pass then starts the search and two short ones end it."""
     if not columns:
         raise ValueError("no numeric columns")
-    medians = {}
+    stats = {c: _statistics(c) for c in columns}
     if exact:
-        medians = {c: v[0] for c, v in exact_percentiles(df, {c: [0.5] for c in columns}).items()}
-    stats = []
-    for i, c in enumerate(columns):
-        median = (
-            F.lit(None if medians[c] is None else float(medians[c])).cast("double")
-            if exact
-            else F.percentile_approx(c, 0.5)
-        )
-        stats += [
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.avg(c).alias(f"mean{i}"),
-            F.stddev(c).alias(f"std{i}"),
-            F.count(c).alias(f"filled{i}"),
-            median.alias(f"median{i}"),
-        ]
-    one_row = df.agg(*stats, F.count("*").alias("total"))
+        return _exact_profile(df, stats)
+    for c in columns:
+        stats[c]["median_value"] = F.percentile_approx(c, 0.5).cast("double")
+    wide = df.agg(*[F.struct(*_named(stats[c])).alias(f"c{i}") for i, c in enumerate(columns)])
     rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"min{i}").cast("double").alias("min_value"),
-            F.col(f"max{i}").cast("double").alias("max_value"),
-            F.col(f"mean{i}").cast("double").alias("mean_value"),
-            F.col(f"median{i}").cast("double").alias("median_value"),
-            F.col(f"std{i}").cast("double").alias("std_deviation"),
-            F.col(f"filled{i}").alias("count_non_null"),
-            F.col("total").alias("count_total"),
-        )
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"c{i}.{n}").alias(n) for n in _NAMES])
         for i, c in enumerate(columns)
     ]
-    return one_row.select(F.inline(F.array(*rows)))
+    return wide.select(F.inline(F.array(*rows)))
+
+
+_NAMES = [field.split()[0] for field in ROW.split(",")][1:]
+
+
+def _named(stats: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in stats.items()]
+
+
+def _exact_profile(df: DataFrame, stats: dict[str, dict[str, Column]]) -> DataFrame:
+    medians = {c: [0.5] for c in stats}
+    found = df.agg(
+        *[F.struct(*_named(columns)).alias(f"stats_{c}") for c, columns in stats.items()],
+        *percentile_sketches(medians),
+    ).first()
+    exact = exact_percentiles(df, medians, found.asDict())
+    rows = []
+    for c in stats:
+        row = found[f"stats_{c}"].asDict()
+        median = exact[c][0]
+        row |= {"column_name": c, "median_value": None if median is None else float(median)}
+        rows.append(tuple(row[name] for name in ["column_name", *_NAMES]))
+    return df.sparkSession.createDataFrame(rows, ROW)

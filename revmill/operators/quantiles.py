@@ -22,6 +22,10 @@ _ACCURACY = 10_000
 _MARGIN = 3 / _ACCURACY
 
 
+def _ends(at: float, margin: float = _MARGIN) -> list[float]:
+    return [max(0.0, at - margin), min(1.0, at + margin)]
+
+
 @dataclass
 class _Search:
     """A rank looked for in a column, of which ``inside`` rows between the exclusive
@@ -43,10 +47,9 @@ class _Search:
             return value
         return F.when((value > F.lit(self.low)) & (value < F.lit(self.high)), value)
 
-    def bracket(self) -> Column:
+    def sketch(self) -> Column:
         at = (self.rank - self.below) / self.inside
-        ends = [max(0.0, at - self.margin), min(1.0, at + self.margin)]
-        return F.percentile_approx(self.open_values(), ends, _ACCURACY)
+        return F.percentile_approx(self.open_values(), _ends(at, self.margin), _ACCURACY)
 
     def settle(self, value: Any) -> None:
         self.value, self.done = value, True
@@ -65,10 +68,10 @@ class _Search:
             self.low, self.high, self.inside = low, high, within
 
 
-def _round(df: DataFrame, searches: list[_Search]) -> None:
-    ends = df.agg(*[s.bracket().alias(f"b{i}") for i, s in enumerate(searches)]).first()
+def _confirm(df: DataFrame, searches: list[_Search], brackets: list[list]) -> None:
+    """Counts the rows under, at and inside each bracket, in one pass, and narrows."""
     counts = []
-    for i, (s, (low, high)) in enumerate(zip(searches, ends)):
+    for i, (s, (low, high)) in enumerate(zip(searches, brackets)):
         value, low, high = s.open_values(), F.lit(low), F.lit(high)
         counts += [
             F.count_if(value < low).alias(f"u{i}"),
@@ -78,15 +81,13 @@ def _round(df: DataFrame, searches: list[_Search]) -> None:
         ]
     found = df.agg(*counts).first()
     for i, s in enumerate(searches):
-        s.narrow(*ends[i], *[found[f"{name}{i}"] for name in "ulwh"])
+        s.narrow(*brackets[i], *[found[f"{name}{i}"] for name in "ulwh"])
 
 
 def _solve(df: DataFrame, searches: list[_Search], sortable: int) -> list[Any]:
-    for s in searches:
-        if not 1 <= s.rank <= s.inside:
-            s.settle(None)
     while large := [s for s in searches if not s.done and s.inside > sortable]:
-        _round(df, large)
+        ends = df.agg(*[s.sketch().alias(f"b{i}") for i, s in enumerate(large)]).first()
+        _confirm(df, large, list(ends))
     small = [s for s in searches if not s.done]
     if small:
         ranked = [F.sort_array(F.collect_list(s.open_values())) for s in small]
@@ -96,27 +97,48 @@ def _solve(df: DataFrame, searches: list[_Search], sortable: int) -> list[Any]:
     return [s.value for s in searches]
 
 
-def _sizes(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    return df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+def nth_value(df: DataFrame, column: str, rank: int, sortable: int = SORTABLE) -> Any:
+    """The value at a 1-based ascending rank of the non-null values of a column; None
+    where the rank is beyond them."""
+    size = df.agg(F.count(column)).first()[0]
+    if not 1 <= rank <= size:
+        return None
+    return _solve(df, [_Search(column, rank, size)], sortable)[0]
 
 
-def nth_values(df: DataFrame, ranks: list[tuple[str, int]], sortable: int = SORTABLE) -> list[Any]:
-    """For each (column, rank) the value at that 1-based ascending rank of the
-    non-null values; None where the rank is beyond them."""
-    sizes = _sizes(df, list(dict.fromkeys(c for c, _ in ranks)))
-    return _solve(df, [_Search(c, r, sizes[c]) for c, r in ranks], sortable)
+def percentile_sketches(wanted: dict[str, list[float]]) -> list[Column]:
+    """What ``exact_percentiles`` has to know first. A caller that aggregates the same
+    rows anyway adds these to its own pass and hands the row over."""
+    columns = []
+    for c, fractions in wanted.items():
+        columns.append(F.count(c).alias(f"size_{c}"))
+        ends = [e for p in fractions for e in _ends(p)]
+        columns.append(F.percentile_approx(c, ends, _ACCURACY).alias(f"ends_{c}"))
+    return columns
 
 
 def exact_percentiles(
-    df: DataFrame, wanted: dict[str, list[float]], sortable: int = SORTABLE
+    df: DataFrame,
+    wanted: dict[str, list[float]],
+    sketched: dict[str, Any] | None = None,
+    sortable: int = SORTABLE,
 ) -> dict[str, list[Any]]:
-    """Discrete percentiles (an existing value, no interpolation) of several columns."""
-    sizes = _sizes(df, list(wanted))
-    searches = [
-        _Search(c, max(1, ceil(Decimal(str(p)) * sizes[c])), sizes[c])
-        for c, fractions in wanted.items()
-        for p in fractions
-    ]
+    """Discrete percentiles (an existing value, no interpolation) of several columns:
+    the smallest value that the given fraction of the rows does not exceed."""
+    if sketched is None:
+        sketched = df.agg(*percentile_sketches(wanted)).first().asDict()
+    searches, brackets = [], []
+    for c, fractions in wanted.items():
+        size = sketched[f"size_{c}"]
+        for i, p in enumerate(fractions):
+            search = _Search(c, max(1, ceil(Decimal(str(p)) * size)), size)
+            if size == 0:
+                search.settle(None)
+            searches.append(search)
+            brackets.append((sketched[f"ends_{c}"] or [])[2 * i : 2 * i + 2])
+    large = [i for i, s in enumerate(searches) if not s.done and s.inside > sortable]
+    if large:
+        _confirm(df, [searches[i] for i in large], [brackets[i] for i in large])
     values = iter(_solve(df, searches, sortable))
     return {c: [next(values) for _ in fractions] for c, fractions in wanted.items()}
 

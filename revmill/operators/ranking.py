@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .quantiles import nth_values
+from .quantiles import nth_value
 
 # Rows up to which each task keeps its own top rows and one task merges them.
 TAKE_ROWS = 50_000
@@ -74,7 +74,7 @@ def _above_cut(df: DataFrame, measure: str, n: int, tiebreak: str) -> DataFrame:
     if n > valued:
         kept, ties, missing = value.isNotNull(), value.isNull(), n - valued
     else:
-        (cut,) = nth_values(df, [(measure, valued - n + 1)])
+        cut = nth_value(df, measure, valued - n + 1)
         above = df.agg(F.count_if(value > F.lit(cut))).first()[0]
         kept, ties, missing = value > F.lit(cut), value == F.lit(cut), n - above
     equal = df.where(ties)
@@ -82,5 +82,5 @@ def _above_cut(df: DataFrame, measure: str, n: int, tiebreak: str) -> DataFrame:
         # Text keys have no sketch; only the fill-up among equal measures is ordered.
         fill = equal.orderBy(tiebreak).limit(missing)
         return df.where(kept).unionByName(fill)
-    (last_key,) = nth_values(equal, [(tiebreak, missing)])
+    last_key = nth_value(equal, tiebreak, missing)
     return df.where(kept | (ties & (F.col(tiebreak) <= F.lit(last_key))))

@@ -41,7 +41,7 @@ def load_traffic(
     raw: DataFrame,
     customers: DataFrame,
     channels: DataFrame,
-    max_broadcast_rows: int = joins.BROADCAST_ROWS,
+    max_broadcast: int = joins.BROADCAST_BYTES,
 ) -> DataFrame:
     """Accepted traffic, one row per date, account, customer and channel, last row wins.
 
@@ -55,7 +55,7 @@ def load_traffic(
     natural = ["send_date", "account_id", "channel_id"]
     latest = keys.last_wins(wanted, natural).withColumnRenamed("seq", "traffic_id")
     resolved = joins.resolve_keys(
-        latest, customers, channels, ["send_date"], max_broadcast_rows
+        latest, customers, channels, ["send_date"], max_broadcast
     )
     return model.conform(resolved, model.TRAFFIC)
 

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model
-from ..operators import aggregates, contracts, keys
+from ..operators import aggregates, contracts, joins, keys
 from ..sources import files, sinks
 from . import load, metrics, questions, statistics
 
@@ -20,10 +20,21 @@ PERIODS = "customers_revenue_by_period"
 EXPOSURE = "business_analytics/industry_exposure"
 
 
-def read_raw(spark: SparkSession, in_dir: str, name: str, schema) -> DataFrame:
-    """A raw file with its row order, which each file states in its own id column."""
-    rows = files.read_csv(spark, f"{in_dir}/{name}.csv", schema)
-    return keys.with_seq(rows, schema[0].name)
+class RawFile:
+    """A raw file with its row order, which each file states in its own id column. Lines
+    that do not parse are counted while the file is read for the load."""
+
+    def __init__(self, spark: SparkSession, in_dir: str, name: str, schema):
+        self.name = name
+        self._bad = Observation()
+        rows = files.read_csv(spark, f"{in_dir}/{name}.csv", schema, keep_bad_rows=True)
+        counted = rows.observe(self._bad, F.count(files.BAD_ROW).alias("lines"))
+        self.rows = keys.with_seq(counted.drop(files.BAD_ROW), schema[0].name)
+
+    def check(self) -> None:
+        """After a load of the rows: raises if a line did not parse."""
+        if lines := self._bad.get["lines"]:
+            raise contracts.ContractError(f"{self.name}: {lines} lines do not parse")
 
 
 def _by_month(traffic: DataFrame) -> DataFrame:
@@ -33,31 +44,33 @@ def _by_month(traffic: DataFrame) -> DataFrame:
     return dated.hint("rebalance", "send_month").sortWithinPartitions("send_month", "send_date")
 
 
-def write_star(spark: SparkSession, in_dir: str, out_dir: str, as_of: datetime) -> None:
+def write_star(
+    spark: SparkSession, in_dir: str, out_dir: str, as_of: datetime, fill_defaults: bool = False
+) -> None:
     """Loads the raw files. Dimensions are written first and the traffic is resolved
-    against what was written; a broken rule leaves the previous star in place."""
-    today = as_of.date()
-    raw = {
-        name: read_raw(spark, in_dir, name, schema)
-        for name, schema in (
-            ("customers", model.CUSTOMERS),
-            ("channels", model.CHANNELS),
-            ("traffic", model.TRAFFIC),
-        )
-    }
-    raw["customers"] = contracts.apply_defaults(raw["customers"], {"created_date": today})
-    raw["traffic"] = contracts.apply_defaults(raw["traffic"], model.TRAFFIC_DEFAULTS)
+    against what was written. An unreadable line, or an empty or negative value where the
+    table allows none, raises and leaves the previous star in place; ``fill_defaults``
+    gives empty values the column's default instead."""
+    raw_customers = RawFile(spark, in_dir, "customers", model.CUSTOMERS)
+    raw_channels = RawFile(spark, in_dir, "channels", model.CHANNELS)
+    raw_traffic = RawFile(spark, in_dir, "traffic", model.TRAFFIC)
+    customer_rows, traffic_rows = raw_customers.rows, raw_traffic.rows
+    if fill_defaults:
+        customer_rows = contracts.apply_defaults(customer_rows, {"created_date": as_of.date()})
+        traffic_rows = contracts.apply_defaults(traffic_rows, model.TRAFFIC_DEFAULTS)
     with sinks.publication(spark) as tables:
-        customers = tables.stage(f"{out_dir}/customers", load.load_customers(raw["customers"]))
-        channels = tables.stage(f"{out_dir}/channels", load.load_channels(raw["channels"]))
+        customers = tables.stage(f"{out_dir}/customers", load.load_customers(customer_rows))
+        channels = tables.stage(f"{out_dir}/channels", load.load_channels(raw_channels.rows))
         traffic = tables.stage(
             f"{out_dir}/traffic",
-            _by_month(load.load_traffic(raw["traffic"], customers, channels)),
+            _by_month(load.load_traffic(traffic_rows, customers, channels)),
             partition_by="send_month",
         )
+        for raw in (raw_customers, raw_channels, raw_traffic):
+            raw.check()
         tables.stage(
             f"{out_dir}/traffic_rejects",
-            load.joins.rejects(raw["traffic"], customers, channels, ["seq"]),
+            joins.rejects(traffic_rows, customers, channels, ["seq"]),
         )
         load.check_table("customers", customers, model.CUSTOMERS)
         load.check_table("channels", channels, model.CHANNELS)
@@ -83,7 +96,7 @@ def write_questions(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
             model.SEGMENT_ANALYSIS,
         ),
         "business_analytics/recent_customers": (
-            questions.segment_changes(customers, traffic, today),
+            questions.segment_changes(customers, traffic, today, month_partition="send_month"),
             model.RECENT_CUSTOMERS,
         ),
         "business_analytics/top_customers": (
@@ -96,26 +109,30 @@ def write_questions(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
         ),
     }
     with sinks.publication(spark) as tables:
-        for name, (answer, schema) in answers.items():
-            rows = sinks.stamped(model.conform(answer, schema), as_of)
-            tables.stage(f"{out_dir}/{name}", rows)
+        tables.stage_all(
+            {
+                f"{out_dir}/{name}": sinks.stamped(model.conform(answer, schema), as_of)
+                for name, (answer, schema) in answers.items()
+            }
+        )
 
 
 def write_statistics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
     exposure = spark.read.parquet(f"{out_dir}/{EXPOSURE}").drop("last_updated")
     with sinks.publication(spark) as tables:
-        tables.stage(
-            f"{out_dir}/descriptive_statistics/column_statistics",
-            sinks.stamped(
-                statistics.column_statistics(exposure, EXPOSURE.replace("/", ".")), as_of
-            ),
-        )
+        described = statistics.column_statistics(exposure, EXPOSURE.replace("/", "."))
         categories = model.conform(
             statistics.industry_categories(exposure), model.INDUSTRY_EXPOSURE_EXTENDED
         )
-        tables.stage(
-            f"{out_dir}/descriptive_statistics/industry_exposure_extended",
-            sinks.stamped(categories, as_of),
+        tables.stage_all(
+            {
+                f"{out_dir}/descriptive_statistics/column_statistics": sinks.stamped(
+                    described, as_of
+                ),
+                f"{out_dir}/descriptive_statistics/industry_exposure_extended": sinks.stamped(
+                    categories, as_of
+                ),
+            }
         )
 
 
@@ -141,10 +158,11 @@ def monthly_run(
     out_dir: str,
     as_of: datetime,
     require_fresh: bool = False,
+    fill_defaults: bool = False,
 ) -> DataFrame:
     """Runs every step and returns the row count of each table written. The freshness of
     the metrics is looked at before the questions; only ``require_fresh`` acts on it."""
-    write_star(spark, in_dir, out_dir, as_of)
+    write_star(spark, in_dir, out_dir, as_of, fill_defaults)
     write_metrics(spark, out_dir, as_of)
     periods = spark.read.parquet(f"{out_dir}/{PERIODS}")
     metrics.freshness(periods, "last_updated", as_of, require_fresh)

@@ -42,7 +42,11 @@ def segment_share(customers: DataFrame) -> DataFrame:
 
 
 def segment_changes(
-    customers: DataFrame, traffic: DataFrame, as_of: dates.When, months: int = 12
+    customers: DataFrame,
+    traffic: DataFrame,
+    as_of: dates.When,
+    months: int = 12,
+    month_partition: str | None = None,
 ) -> DataFrame:
     """Customers with two or more segments in the dimension and traffic since the cutoff.
 
@@ -54,7 +58,8 @@ def segment_changes(
         .where("segments >= 2")
         .select("customer_id")
     )
-    recent = dates.since(traffic, "send_date", as_of, months).select("customer_id").distinct()
+    late = dates.since(traffic, "send_date", as_of, months, month_partition=month_partition)
+    recent = late.select("customer_id").distinct()
     return recent.join(changed, "customer_id", "left_semi")
 
 

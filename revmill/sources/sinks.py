@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -53,6 +54,12 @@ class Publication:
         self.rows[path] = counted.get["rows"]
         return self.spark.read.parquet(aside)
 
+    def stage_all(self, tables: dict[str, DataFrame]) -> None:
+        """Stages tables that do not depend on each other, as concurrent jobs."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for done in [pool.submit(self.stage, path, df) for path, df in tables.items()]:
+                done.result()
+
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
         location = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,7 +70,7 @@ class Publication:
         if not fs.rename(location, self._fs(target)[1]):
             raise OSError(f"cannot move {source} to {target}")
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
         fs, location = self._fs(path)
         return fs.exists(location)
 
@@ -76,7 +83,7 @@ class Publication:
         replaced, placed = {}, []
         try:
             for path, aside in self._staged.items():
-                if self._exists(path):
+                if self.exists(path):
                     replaced[path] = f"{path.rstrip('/')}__replaced_{self._run}"
                     self._move(path, replaced[path])
                 self._move(aside, path)
@@ -85,7 +92,7 @@ class Publication:
             for path in placed:
                 self._move(path, self._staged[path])
             for path, old in replaced.items():
-                if self._exists(old):
+                if self.exists(old):
                     self._move(old, path)
             raise
         for old in replaced.values():
@@ -139,7 +146,7 @@ def upsert(path: str, updates: DataFrame, keys: list[str], as_of: datetime) -> i
     spark = updates.sparkSession
     fresh = stamped(updates, as_of)
     with publication(spark) as tables:
-        if tables._exists(path):
+        if tables.exists(path):
             fresh = merged(spark.read.parquet(path), fresh, keys)
         tables.stage(path, fresh)
     return tables.rows[path]
@@ -150,7 +157,7 @@ def ensure_table(
 ) -> DataFrame:
     """An existing table as it is, or a new empty one with the given columns."""
     tables = Publication(spark)
-    if replace or not tables._exists(path):
+    if replace or not tables.exists(path):
         tables.stage(path, spark.createDataFrame([], schema))
         tables.commit()
     return spark.read.schema(schema).parquet(path)
