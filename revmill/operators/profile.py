@@ -73,7 +73,7 @@ def _exact_profile(df: DataFrame, stats: dict[str, dict[str, Column]]) -> DataFr
     medians = {c: [0.5] for c in stats}
     found = df.agg(
         *[F.struct(*_named(columns)).alias(f"stats_{c}") for c, columns in stats.items()],
-        *percentile_sketches(medians),
+        *percentile_sketches(df, medians),
     ).first()
     exact = exact_percentiles(df, medians, found.asDict())
     rows = []

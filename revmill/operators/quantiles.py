@@ -15,23 +15,42 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType
 
 # Values that one task may sort.
 SORTABLE = 50_000
+# Sketch sizes, both good for a rank error well under the margin.
+_SKETCH_K = 8_192
 _ACCURACY = 10_000
-_MARGIN = 3 / _ACCURACY
+_MARGIN = 1 / 1_000
 
 
 def _ends(at: float, margin: float = _MARGIN) -> list[float]:
     return [max(0.0, at - margin), min(1.0, at + margin)]
 
 
+def _quantiles(value: Column, kind: DataType, ends: list[float]) -> Column:
+    """Approximate quantiles in the type of the column, NULL without values. They need
+    not be exact, as all use of them is confirmed by counting."""
+    if isinstance(kind, DecimalType) or not isinstance(kind, IntegralType | FractionalType):
+        return F.percentile_approx(value, ends, _ACCURACY)
+    wanted = F.array(*[F.lit(e) for e in ends])
+    if isinstance(kind, IntegralType):
+        sketch = F.kll_sketch_agg_bigint(value.cast("bigint"), _SKETCH_K)
+        found = F.kll_sketch_get_quantile_bigint(sketch, wanted)
+    else:
+        sketch = F.kll_sketch_agg_double(value.cast("double"), _SKETCH_K)
+        found = F.kll_sketch_get_quantile_double(sketch, wanted)
+    return F.when(F.count(value) > 0, found)
+
+
 @dataclass
 class _Search:
     """A rank looked for in a column, of which ``inside`` rows between the exclusive
     bounds are still open and ``below`` rows lie under them."""
 
     column: str
+    kind: DataType
     rank: int
     inside: int
     below: int = 0
@@ -49,7 +68,7 @@ class _Search:
 
     def sketch(self) -> Column:
         at = (self.rank - self.below) / self.inside
-        return F.percentile_approx(self.open_values(), _ends(at, self.margin), _ACCURACY)
+        return _quantiles(self.open_values(), self.kind, _ends(at, self.margin))
 
     def settle(self, value: Any) -> None:
         self.value, self.done = value, True
@@ -57,7 +76,10 @@ class _Search:
     def narrow(self, low: Any, high: Any, under: int, at_low: int, within: int, at_high: int):
         steps = self.rank - self.below - under
         if steps < 1 or steps > at_low + within + at_high:
-            # The sketch missed; a margin of 1 and more spans all open values.
+            if self.margin >= 1:
+                # The bracket spans all numbers, so the rank lies among the NaNs after them.
+                self.settle(float("nan"))
+            # The sketch missed.
             self.margin *= 4
         elif steps <= at_low:
             self.settle(low)
@@ -103,17 +125,18 @@ def nth_value(df: DataFrame, column: str, rank: int, sortable: int = SORTABLE) -
     size = df.agg(F.count(column)).first()[0]
     if not 1 <= rank <= size:
         return None
-    return _solve(df, [_Search(column, rank, size)], sortable)[0]
+    kind = df.schema[column].dataType
+    return _solve(df, [_Search(column, kind, rank, size)], sortable)[0]
 
 
-def percentile_sketches(wanted: dict[str, list[float]]) -> list[Column]:
+def percentile_sketches(df: DataFrame, wanted: dict[str, list[float]]) -> list[Column]:
     """What ``exact_percentiles`` has to know first. A caller that aggregates the same
     rows anyway adds these to its own pass and hands the row over."""
     columns = []
     for c, fractions in wanted.items():
         columns.append(F.count(c).alias(f"size_{c}"))
         ends = [e for p in fractions for e in _ends(p)]
-        columns.append(F.percentile_approx(c, ends, _ACCURACY).alias(f"ends_{c}"))
+        columns.append(_quantiles(F.col(c), df.schema[c].dataType, ends).alias(f"ends_{c}"))
     return columns
 
 
@@ -126,12 +149,13 @@ def exact_percentiles(
     """Discrete percentiles (an existing value, no interpolation) of several columns:
     the smallest value that the given fraction of the rows does not exceed."""
     if sketched is None:
-        sketched = df.agg(*percentile_sketches(wanted)).first().asDict()
+        sketched = df.agg(*percentile_sketches(df, wanted)).first().asDict()
     searches, brackets = [], []
     for c, fractions in wanted.items():
         size = sketched[f"size_{c}"]
         for i, p in enumerate(fractions):
-            search = _Search(c, max(1, ceil(Decimal(str(p)) * size)), size)
+            rank = max(1, ceil(Decimal(str(p)) * size))
+            search = _Search(c, df.schema[c].dataType, rank, size)
             if size == 0:
                 search.settle(None)
             searches.append(search)

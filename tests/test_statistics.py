@@ -93,6 +93,13 @@ def test_nth_value_of_longs_decimals_and_dates(spark):
         assert quantiles.nth_value(df, c, 1001) is None
 
 
+def test_nan_ranks_after_all_numbers(spark):
+    df = spark.range(900).selectExpr("IF(id % 3 = 0, double('NaN'), double(id)) AS x")
+    low, high = quantiles.exact_percentiles(df, {"x": [0.5, 0.9]}, sortable=10)["x"]
+    assert low == sorted(i for i in range(900) if i % 3)[449]
+    assert math.isnan(high)
+
+
 def test_quartiles_of_few_rows_agree(spark):
     df = spark.range(25).select((F.col("id") * 3).alias("a"), (-F.col("id")).alias("b"))
     approx = quantiles.quartiles(df, ["a", "b"]).collect()
