@@ -1,21 +1,26 @@
 """Joins of large facts to dimensions that are unique on their key.
 
 A fact key may hold any share of the rows. A dimension measured to be small is
-broadcast; any other join spreads the fact rows of each key over several tasks.
+broadcast. Otherwise the rows of each key are counted, and a key with more rows than a
+task should take is spread over as many tasks as it needs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+from ..session import cut_lineage
+
 # Bytes up to which a dimension is copied to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 # Bytes per row that a hash table needs beside the values.
 ROW_OVERHEAD = 32
-# Tasks over which the rows of one key are spread otherwise.
-SPREAD = 16
+# Rows of one key that one task takes.
+TASK_ROWS = 1_000_000
+# Most keys that can be hot; beyond it a key has to be larger to count as hot.
+HOT_KEYS = 500_000
 
 UNKNOWN_ACCOUNT = "unknown account"
 UNKNOWN_CHANNEL = "unknown channel"
@@ -45,24 +50,44 @@ def lookup(
     how: str = "inner",
     spread_by: list[str] | None = None,
     max_broadcast: int = BROADCAST_BYTES,
+    task_rows: int | None = TASK_ROWS,
 ) -> DataFrame:
     """Joins every fact row to its dimension row: ``how`` is inner, left, left_semi or left_anti.
 
-    ``dim`` has one row per ``on``. Beyond the broadcast bound the dimension is
-    repeated once per salt and the facts carry a salt taken from their own values
-    (``spread_by``, by default the whole row), so a hot key is shared by SPREAD tasks and
-    a retried task computes the same salt again.
+    ``dim`` has one row per ``on``. Rows of a hot key are told apart by a salt from their own
+    values (``spread_by``, by default the whole row), so a retried task computes the same
+    salt again; only the dimension rows of hot keys are repeated. ``task_rows=None`` states
+    that no key is hot and saves the count.
     """
     if fits(dim, max_broadcast):
         return _in_order(facts.join(F.broadcast(dim), on, how), facts, how)
-    salt = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(SPREAD)).cast("int")
-    salts = F.array(*[F.lit(i) for i in range(SPREAD)])
-    joined = facts.withColumn("_salt", salt).join(
-        dim.withColumn("_salt", F.explode(salts)), [on, "_salt"], how
+    hot = hot_keys(facts, on, task_rows) if task_rows else None
+    if hot is None:
+        return _in_order(facts.join(dim, on, how), facts, how)
+    row = F.xxhash64(*(spread_by or facts.columns))
+    salts = F.coalesce("_salts", F.lit(1))
+    # A row without a key matches nothing and may go anywhere.
+    width = F.when(F.col(on).isNull(), F.lit(TASK_ROWS)).otherwise(salts)
+    salted = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(row, width))
+    repeated = dim.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     )
+    joined = salted.drop("_salts").join(repeated.drop("_salts"), [on, "_salt"], how)
     return _in_order(joined.drop("_salt"), facts, how)
 
 
+def hot_keys(facts: DataFrame, on: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
+    """Keys with more rows than one task takes, and over how many tasks to spread them;
+    None without such keys. At most HOT_KEYS keys, as each holds that share of all rows."""
+    counts = facts.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
+    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
+    limit = max(task_rows, (total or 0) // HOT_KEYS)
+    if (largest or 0) <= limit:
+        return None
+    salts: Column = F.ceil(F.col("_rows") / limit).cast("bigint")
+    return cut_lineage(counts.where(F.col("_rows") > limit).select(on, salts.alias("_salts")))
+
+
 def _in_order(joined: DataFrame, facts: DataFrame, how: str) -> DataFrame:
     """A filtering join leaves the columns as they were."""
     return joined.select(facts.columns) if how in ("left_semi", "left_anti") else joined
@@ -107,19 +132,16 @@ def resolve_keys(
     channels: DataFrame,
     spread_by: list[str] | None = None,
     max_broadcast: int = BROADCAST_BYTES,
+    task_rows: int | None = TASK_ROWS,
 ) -> DataFrame:
     """Facts with ``customer_id`` looked up by ``account_id``; a fact whose account or
     channel is unknown is left out. Channels are few, so they filter first."""
+    ours = facts.drop("customer_id")
     known = lookup(
-        facts.drop("customer_id"),
-        channels.select("channel_id"),
-        "channel_id",
-        "left_semi",
-        spread_by,
-        max_broadcast,
+        ours, channels.select("channel_id"), "channel_id", "left_semi", spread_by, max_broadcast
     )
     accounts = customers.select("account_id", "customer_id")
-    return lookup(known, accounts, "account_id", "inner", spread_by, max_broadcast)
+    return lookup(known, accounts, "account_id", "inner", spread_by, max_broadcast, task_rows)
 
 
 def rejects(
@@ -129,16 +151,24 @@ def rejects(
     spread_by: list[str] | None = None,
     max_broadcast: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The facts that ``resolve_keys`` leaves out, whole, with the first reason that applies."""
-    accounts = customers.select("account_id", F.lit(True).alias("_account"))
-    known = channels.select("channel_id", F.lit(True).alias("_channel"))
+    """The facts that ``resolve_keys`` leaves out, whole, with the first reason that applies.
+
+    Unknown keys are found among the distinct ones. They are normally few, so the facts
+    themselves are only filtered."""
+    accounts = _unknown(facts, customers, "account_id", "_account")
+    known = _unknown(facts, channels, "channel_id", "_channel")
     marked = lookup(facts, known, "channel_id", "left", spread_by, max_broadcast)
     marked = lookup(marked, accounts, "account_id", "left", spread_by, max_broadcast)
-    reason = F.when(F.col("_account").isNull(), F.lit(UNKNOWN_ACCOUNT)).when(
-        F.col("_channel").isNull(), F.lit(UNKNOWN_CHANNEL)
-    )
+    reason = F.when(
+        F.col("_account").isNotNull() | F.col("account_id").isNull(), F.lit(UNKNOWN_ACCOUNT)
+    ).when(F.col("_channel").isNotNull() | F.col("channel_id").isNull(), F.lit(UNKNOWN_CHANNEL))
     return (
         marked.withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
         .select(*facts.columns, "reason")
     )
+
+
+def _unknown(facts: DataFrame, dim: DataFrame, key: str, mark: str) -> DataFrame:
+    missing = facts.select(key).distinct().join(dim.select(key), key, "left_anti")
+    return cut_lineage(missing.where(F.col(key).isNotNull()).withColumn(mark, F.lit(True)))

@@ -55,7 +55,7 @@ def load_traffic(
     natural = ["send_date", "account_id", "channel_id"]
     latest = keys.last_wins(wanted, natural).withColumnRenamed("seq", "traffic_id")
     resolved = joins.resolve_keys(
-        latest, customers, channels, ["send_date"], max_broadcast
+        latest, customers, channels, max_broadcast=max_broadcast, task_rows=None
     )
     return model.conform(resolved, model.TRAFFIC)
 

@@ -117,7 +117,8 @@ def always_active_top(
     else:
         raise ValueError("mode is 'whole_periods' or 'exact'")
     measured = traffic.groupBy(entity).agg(
-        F.sum("revenue_eur").alias("total_revenue"), active.alias("active")
+        aggregates.money_sum(traffic, "revenue_eur").alias("total_revenue"),
+        active.alias("active"),
     )
     known = measured.join(customers.select(entity), entity, "left_semi")
     top = ranking.top_fraction(known, "total_revenue", fraction, entity, customers)

@@ -31,9 +31,19 @@ def test_lookup(spark, how, spread_by):
         plain = plain.select(facts.columns)
     want = rows(plain)
     assert rows(joins.lookup(facts, dim, "account_id", how)) == want
-    got = joins.lookup(facts, dim, "account_id", how, spread_by, max_broadcast=0)
-    assert got.columns == plain.columns
-    assert rows(got) == want
+    for task_rows in (None, joins.TASK_ROWS, 100):
+        got = joins.lookup(facts, dim, "account_id", how, spread_by, 0, task_rows)
+        assert got.columns == plain.columns
+        assert rows(got) == want
+
+
+def test_hot_keys_are_spread_by_their_size(spark):
+    facts = skewed(spark)
+    assert joins.hot_keys(facts, "account_id") is None
+    assert joins.hot_keys(facts.where("false"), "account_id", 1) is None
+    # 2,000 of the 6,000 rows and the few of key 1 elsewhere.
+    ((key, salts),) = rows(joins.hot_keys(facts, "account_id", 100))
+    assert key == 1 and 20 <= salts <= 21
 
 
 def test_a_hot_key_is_spread_over_tasks(spark):
@@ -41,7 +51,8 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = joins.lookup(facts, dim, "account_id", max_broadcast=0).where("account_id = 1")
+        got = joins.lookup(facts, dim, "account_id", max_broadcast=0, task_rows=100)
+        got = got.where("account_id = 1")
         plain = facts.join(dim, "account_id").where("account_id = 1")
         used = "spark_partition_id() AS task"
         assert got.selectExpr(used).distinct().count() > 1

@@ -157,3 +157,13 @@ def test_order_desc_places_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, 5), (3, 5)], "id int, m int")
     assert [r.id for r in ranking.order_desc(df, "m", "id").collect()] == [1, 2, 3]
     assert [r.id for r in ranking.order_desc(df, "m", "id", nulls="last").collect()] == [2, 3, 1]
+
+
+def test_sums_are_exact_and_overflow_raises(spark):
+    df = spark.range(3).selectExpr("1 AS k", "CAST(99999999999999.99 AS DECIMAL(16,2)) AS m")
+    assert aggregates.total_by(df, "k", "m").first()[1] == Decimal("299999999999999.97")
+    wide = df.selectExpr("k", "CAST(m AS DECIMAL(30,4)) AS m")
+    assert aggregates.total_by(wide, "k", "m").first()[1] == Decimal("299999999999999.9700")
+    many = spark.range(1_000_000).selectExpr("1 AS k", "CAST(99999999999999.99 AS DECIMAL(16,2)) AS m")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        aggregates.total_by(many, "k", "m").collect()
