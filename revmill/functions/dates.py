@@ -130,10 +130,23 @@ def back(start: Column, grain: str, n: int) -> Column:
     return F.add_months(start, -n * {"month": 1, "quarter": 3, "year": 12}[grain])
 
 
+def period_number(date_col: Column, grain: str) -> Column:
+    """Running number of the period holding the date; whole numbers that differ by one
+    between neighbours. Weeks start on Monday."""
+    date_col = date_col.cast("date")
+    if grain == "day":
+        return F.unix_date(date_col)
+    if grain == "week":
+        return F.floor((F.unix_date(date_col) + 3) / 7).cast("int")
+    if grain == "month":
+        return F.year(date_col) * 12 + F.month(date_col)
+    if grain == "quarter":
+        return F.year(date_col) * 4 + F.quarter(date_col)
+    if grain == "year":
+        return F.year(date_col)
+    raise ValueError(f"unknown grain {grain}")
+
+
 def periods_between(start: Column, date_col: Column, grain: str) -> Column:
-    """Number of whole periods from a period start to the period of the date."""
-    if grain in ("day", "week"):
-        days = F.datediff(truncate(date_col, grain), start)
-        return (days / F.lit(7 if grain == "week" else 1)).cast("int")
-    months = F.months_between(truncate(date_col, grain), start).cast("int")
-    return (months / F.lit({"month": 1, "quarter": 3, "year": 12}[grain])).cast("int")
+    """Number of periods from the one of ``start`` to the one of the date."""
+    return period_number(date_col, grain) - period_number(start, grain)

@@ -153,15 +153,27 @@ def rejects(
 ) -> DataFrame:
     """The facts that ``resolve_keys`` leaves out, whole, with the first reason that applies.
 
-    Unknown keys are found among the distinct ones. They are normally few, so the facts
-    themselves are only filtered."""
-    accounts = _unknown(facts, customers, "account_id", "_account")
-    known = _unknown(facts, channels, "channel_id", "_channel")
-    marked = lookup(facts, known, "channel_id", "left", spread_by, max_broadcast)
-    marked = lookup(marked, accounts, "account_id", "left", spread_by, max_broadcast)
-    reason = F.when(
-        F.col("_account").isNotNull() | F.col("account_id").isNull(), F.lit(UNKNOWN_ACCOUNT)
-    ).when(F.col("_channel").isNotNull() | F.col("channel_id").isNull(), F.lit(UNKNOWN_CHANNEL))
+    Against small dimensions the facts are read once. Against large ones the unknown keys
+    are found among the distinct ones first; they are normally few, so that the facts are
+    filtered and not shuffled."""
+    known = {
+        "account_id": customers.select("account_id"),
+        "channel_id": channels.select("channel_id"),
+    }
+    if all(fits(dim, max_broadcast) for dim in known.values()):
+        marked = facts
+        for key, dim in known.items():
+            seen = F.broadcast(dim.withColumn(f"_{key}", F.lit(True)))
+            marked = marked.join(seen, key, "left")
+        bad = {key: F.col(f"_{key}").isNull() for key in known}
+    else:
+        marked = facts
+        for key, dim in _unknown(facts, known).items():
+            marked = lookup(marked, dim, key, "left", spread_by, max_broadcast)
+        bad = {key: F.col(f"_{key}").isNotNull() | F.col(key).isNull() for key in known}
+    reason = F.when(bad["account_id"], F.lit(UNKNOWN_ACCOUNT)).when(
+        bad["channel_id"], F.lit(UNKNOWN_CHANNEL)
+    )
     return (
         marked.withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
@@ -169,6 +181,16 @@ def rejects(
     )
 
 
-def _unknown(facts: DataFrame, dim: DataFrame, key: str, mark: str) -> DataFrame:
-    missing = facts.select(key).distinct().join(dim.select(key), key, "left_anti")
-    return cut_lineage(missing.where(F.col(key).isNotNull()).withColumn(mark, F.lit(True)))
+def _unknown(facts: DataFrame, known: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per key column its values without a dimension row, marked; the facts are read once."""
+    used = cut_lineage(facts.select(*known).distinct())
+    return {
+        key: cut_lineage(
+            used.select(key)
+            .where(F.col(key).isNotNull())
+            .distinct()
+            .join(dim, key, "left_anti")
+            .withColumn(f"_{key}", F.lit(True))
+        )
+        for key, dim in known.items()
+    }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import aggregates, ranking
+from ..operators import aggregates, joins, ranking
 
 # A period mask is a 64-bit number with one bit per period.
 MASK_BITS = 62
@@ -51,7 +51,7 @@ def segment_changes(
     """Customers with two or more segments in the dimension and traffic since the cutoff.
 
     The dimension is asked first: its key allows one segment each, so normally nothing
-    is left to look for in the traffic."""
+    is left to look for, and the traffic is not read."""
     changed = (
         customers.groupBy("customer_id")
         .agg(F.count_distinct("segment").alias("segments"))
@@ -60,7 +60,7 @@ def segment_changes(
     )
     late = dates.since(traffic, "send_date", as_of, months, month_partition=month_partition)
     recent = late.select("customer_id").distinct()
-    return recent.join(changed, "customer_id", "left_semi")
+    return joins.lookup(recent, changed, "customer_id", "left_semi", task_rows=None)
 
 
 def segment_changes_history(
@@ -102,24 +102,42 @@ def always_active_top(
     ``whole_periods`` asks for every one of the ``n`` full periods before ``as_of``.
     ``exact`` counts distinct periods from ``n`` months before ``as_of`` on, without an
     upper bound, and wants exactly ``n``; its window can span more than ``n`` periods.
-    Totals and activity come from the same single pass over the traffic. The top fraction
-    is taken of all entities, those without traffic included.
+    The top fraction is taken of all entities, those without traffic included.
     """
+    measured = entity_activity(traffic, as_of, n, grain, mode, entity)
+    return top_active(customers, measured, fraction, entity)
+
+
+def entity_activity(
+    traffic: DataFrame,
+    as_of: dates.When,
+    n: int = 12,
+    grain: str = "month",
+    mode: str = "whole_periods",
+    entity: str = "customer_id",
+) -> DataFrame:
+    """Total revenue per entity and whether it was active in all periods, in a single
+    pass over the traffic."""
     date_col = F.col("send_date")
-    period = dates.truncate(date_col, grain)
     if mode == "exact":
         if grain != "month":
             raise ValueError("the exact mode counts months")
-        cutoff = dates.months_before(as_of, n)
-        active = F.count_distinct(F.when(date_col >= cutoff, period)) == n
+        recent = F.when(date_col >= dates.months_before(as_of, n), F.trunc(date_col, "MM"))
+        active = F.count_distinct(recent) == n
     elif mode == "whole_periods":
         active = _active_in_all(as_of, n, grain)
     else:
         raise ValueError("mode is 'whole_periods' or 'exact'")
-    measured = traffic.groupBy(entity).agg(
+    return traffic.groupBy(entity).agg(
         aggregates.money_sum(traffic, "revenue_eur").alias("total_revenue"),
         active.alias("active"),
     )
+
+
+def top_active(
+    customers: DataFrame, measured: DataFrame, fraction: float = 0.1, entity: str = "customer_id"
+) -> DataFrame:
+    """Of the top ``fraction`` of all known entities those that are active."""
     known = measured.join(customers.select(entity), entity, "left_semi")
     top = ranking.top_fraction(known, "total_revenue", fraction, entity, customers)
     kept = top.where("active").select(entity, "total_revenue")

@@ -48,8 +48,8 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows as written to the shared folder, for a result that is read several times."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """The rows as a table written to the shared folder, for a result that is read several
+    times: it is made once, and a lost executor does not set it back."""
+    path = scratch(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -152,6 +152,11 @@ def upsert(path: str, updates: DataFrame, keys: list[str], as_of: datetime) -> i
     return tables.rows[path]
 
 
+def table_exists(spark: SparkSession, ref: str) -> bool:
+    """Whether a path, or a name in the catalog, holds a table."""
+    return Publication(spark).exists(ref) if "/" in ref else spark.catalog.tableExists(ref)
+
+
 def ensure_table(
     spark: SparkSession, path: str, schema: StructType, replace: bool = False
 ) -> DataFrame:

@@ -219,7 +219,9 @@ def test_a_failed_move_puts_everything_back(spark, tmp_path, monkeypatch):
 
 def test_ensure_keeps_or_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
+    assert not sinks.table_exists(spark, path)
     empty = sinks.ensure_table(spark, path, model.CHANNELS)
+    assert sinks.table_exists(spark, path) and not sinks.table_exists(spark, "no_such_table")
     assert empty.count() == 0
     assert [f.dataType for f in empty.schema] == [f.dataType for f in model.CHANNELS]
     row = [(1, "SMS", "SMS", Decimal("0.05"))]
