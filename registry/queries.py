@@ -23,7 +23,7 @@ from revmill.operators import (
     series,
 )
 from revmill.plans import load, metrics, monthly, prices, questions, statistics
-from revmill.session import scratch
+from revmill.session import scratch, size_shuffles
 from revmill.sources import dims, files, sinks, star, synthetic
 
 # The reference dates of the test tables.
@@ -53,6 +53,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        size_shuffles(spark, sf_dir)
         return plain(build(spark, sf_dir))
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__

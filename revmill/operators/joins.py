@@ -24,6 +24,7 @@ HOT_KEYS = 500_000
 
 UNKNOWN_ACCOUNT = "unknown account"
 UNKNOWN_CHANNEL = "unknown channel"
+UNREADABLE = "unreadable line"
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -78,14 +79,16 @@ def lookup(
 
 def hot_keys(facts: DataFrame, on: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
     """Keys with more rows than one task takes, and over how many tasks to spread them;
-    None without such keys. At most HOT_KEYS keys, as each holds that share of all rows."""
+    None without such keys. At most HOT_KEYS keys, as each holds more than that share of
+    all hot rows. The facts' key column is read once."""
     counts = facts.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
-    total, largest = counts.agg(F.sum("_rows"), F.max("_rows")).first()
-    limit = max(task_rows, (total or 0) // HOT_KEYS)
-    if (largest or 0) <= limit:
+    hot = cut_lineage(counts.where(F.col("_rows") > task_rows))
+    keys, rows = hot.agg(F.count("*"), F.sum("_rows")).first()
+    if not keys:
         return None
-    salts: Column = F.ceil(F.col("_rows") / limit).cast("bigint")
-    return cut_lineage(counts.where(F.col("_rows") > limit).select(on, salts.alias("_salts")))
+    limit = max(task_rows, rows // HOT_KEYS)
+    salts: Column = F.ceil(F.col("_rows") / limit).cast("bigint").alias("_salts")
+    return hot.where(F.col("_rows") > limit).select(on, salts)
 
 
 def _in_order(joined: DataFrame, facts: DataFrame, how: str) -> DataFrame:
@@ -150,8 +153,10 @@ def rejects(
     channels: DataFrame,
     spread_by: list[str] | None = None,
     max_broadcast: int = BROADCAST_BYTES,
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The facts that ``resolve_keys`` leaves out, whole, with the first reason that applies.
+    ``also`` names further reasons, which come first.
 
     Against small dimensions the facts are read once. Against large ones the unknown keys
     are found among the distinct ones first; they are normally few, so that the facts are
@@ -171,11 +176,13 @@ def rejects(
         for key, dim in _unknown(facts, known).items():
             marked = lookup(marked, dim, key, "left", spread_by, max_broadcast)
         bad = {key: F.col(f"_{key}").isNotNull() | F.col(key).isNull() for key in known}
-    reason = F.when(bad["account_id"], F.lit(UNKNOWN_ACCOUNT)).when(
-        bad["channel_id"], F.lit(UNKNOWN_CHANNEL)
-    )
+    reasons = (also or {}) | {
+        UNKNOWN_ACCOUNT: bad["account_id"],
+        UNKNOWN_CHANNEL: bad["channel_id"],
+    }
+    first = F.coalesce(*[F.when(applies, F.lit(name)) for name, applies in reasons.items()])
     return (
-        marked.withColumn("reason", reason)
+        marked.withColumn("reason", first)
         .where(F.col("reason").isNotNull())
         .select(*facts.columns, "reason")
     )

@@ -6,36 +6,63 @@ written, so a lost executor repeats tasks of one step only.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructType
 
 from .. import model
 from ..operators import aggregates, contracts, joins, keys
-from ..session import cut_lineage
+from ..session import cut_lineage, size_shuffles
 from ..sources import files, sinks
 from . import load, metrics, questions, statistics
 
+log = logging.getLogger(__name__)
+
 PERIODS = "customers_revenue_by_period"
 EXPOSURE = "business_analytics/industry_exposure"
 
 
-class RawFile:
-    """A raw file with its row order, which each file states in its own id column. Lines
-    that do not parse are counted while the file is read for the load."""
+REJECTS = StructType([*model.TRAFFIC]).add("seq", LongType()).add("reason", StringType())
+# Every table the run writes, with its columns.
+TABLES = {
+    "customers": model.CUSTOMERS,
+    "channels": model.CHANNELS,
+    "traffic": StructType([*model.TRAFFIC]).add("send_month", DateType()),
+    "traffic_rejects": REJECTS,
+    PERIODS: model.REVENUE_BY_PERIOD,
+    EXPOSURE: model.INDUSTRY_EXPOSURE,
+    "business_analytics/segment_analysis": model.SEGMENT_ANALYSIS,
+    "business_analytics/recent_customers": model.RECENT_CUSTOMERS,
+    "business_analytics/top_customers": model.CUSTOMER_TOTALS,
+    "business_analytics/monthly_active_customers": model.CUSTOMER_TOTALS,
+    "descriptive_statistics/column_statistics": model.COLUMN_STATISTICS,
+    "descriptive_statistics/industry_exposure_extended": model.INDUSTRY_EXPOSURE_EXTENDED,
+}
+
+
+def read(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{out_dir}/{name}")
+
+
+def read_raw(spark: SparkSession, in_dir: str, name: str, schema: StructType) -> DataFrame:
+    """A raw file with its row order, which each file states in its own id column, and
+    the text of a line that does not parse."""
+    rows = files.read_csv(spark, f"{in_dir}/{name}.csv", schema, keep_bad_rows=True)
+    return keys.with_seq(rows, schema[0].name)
 
-    def __init__(self, spark: SparkSession, in_dir: str, name: str, schema):
-        self.name = name
-        self._bad = Observation()
-        rows = files.read_csv(spark, f"{in_dir}/{name}.csv", schema, keep_bad_rows=True)
-        counted = rows.observe(self._bad, F.count(files.BAD_ROW).alias("lines"))
-        self.rows = keys.with_seq(counted.drop(files.BAD_ROW), schema[0].name)
 
-    def check(self) -> None:
-        """After a load of the rows: raises if a line did not parse."""
-        if lines := self._bad.get["lines"]:
-            raise contracts.ContractError(f"{self.name}: {lines} lines do not parse")
+def _raise_unreadable(name: str, lines: int) -> None:
+    if lines:
+        raise contracts.ContractError(f"{name}: {lines} lines do not parse")
+
+
+def _readable(name: str, raw: DataFrame) -> DataFrame:
+    """The rows of a small file, after a look at all of its lines."""
+    _raise_unreadable(name, raw.agg(F.count(files.BAD_ROW), F.count("seq")).first()[0])
+    return raw.drop(files.BAD_ROW)
 
 
 def _by_month(traffic: DataFrame) -> DataFrame:
@@ -52,34 +79,31 @@ def write_star(
     against what was written. An unreadable line, or an empty or negative value where the
     table allows none, raises and leaves the previous star in place; ``fill_defaults``
     gives empty values the column's default instead."""
-    raw_customers = RawFile(spark, in_dir, "customers", model.CUSTOMERS)
-    raw_channels = RawFile(spark, in_dir, "channels", model.CHANNELS)
-    raw_traffic = RawFile(spark, in_dir, "traffic", model.TRAFFIC)
-    customer_rows, traffic_rows = raw_customers.rows, raw_traffic.rows
+    customer_rows = _readable("customers", read_raw(spark, in_dir, "customers", model.CUSTOMERS))
+    channel_rows = _readable("channels", read_raw(spark, in_dir, "channels", model.CHANNELS))
+    traffic_rows = read_raw(spark, in_dir, "traffic", model.TRAFFIC)
     if fill_defaults:
         customer_rows = contracts.apply_defaults(customer_rows, {"created_date": as_of.date()})
         traffic_rows = contracts.apply_defaults(traffic_rows, model.TRAFFIC_DEFAULTS)
+    unreadable = {joins.UNREADABLE: F.col(files.BAD_ROW).isNotNull()}
     with sinks.publication(spark) as tables:
         customers = tables.stage(f"{out_dir}/customers", load.load_customers(customer_rows))
-        channels = tables.stage(f"{out_dir}/channels", load.load_channels(raw_channels.rows))
+        channels = tables.stage(f"{out_dir}/channels", load.load_channels(channel_rows))
+        rejected = joins.rejects(traffic_rows, customers, channels, ["seq"], also=unreadable)
+        left_out = tables.stage(f"{out_dir}/traffic_rejects", rejected.drop(files.BAD_ROW))
+        _raise_unreadable("traffic", left_out.where(F.col("reason") == joins.UNREADABLE).count())
         traffic = tables.stage(
             f"{out_dir}/traffic",
             _by_month(load.load_traffic(traffic_rows, customers, channels)),
             partition_by="send_month",
         )
-        for raw in (raw_customers, raw_channels, raw_traffic):
-            raw.check()
-        tables.stage(
-            f"{out_dir}/traffic_rejects",
-            joins.rejects(traffic_rows, customers, channels, ["seq"]),
-        )
         load.check_table("customers", customers, model.CUSTOMERS)
         load.check_table("channels", channels, model.CHANNELS)
         load.check_table("traffic", traffic, model.TRAFFIC)
 
 
 def write_metrics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
-    traffic = spark.read.parquet(f"{out_dir}/traffic")
+    traffic = read(spark, out_dir, "traffic")
     periods = model.conform(
         metrics.revenue_by_period(traffic, as_of.date()), model.REVENUE_BY_PERIOD
     )
@@ -87,8 +111,8 @@ def write_metrics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
 
 
 def write_questions(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
-    customers = spark.read.parquet(f"{out_dir}/customers")
-    traffic = spark.read.parquet(f"{out_dir}/traffic")
+    customers = read(spark, out_dir, "customers")
+    traffic = read(spark, out_dir, "traffic")
     today = as_of.date()
     # The three questions on revenue share one pass over the traffic.
     activity = cut_lineage(questions.entity_activity(traffic, today))
@@ -122,7 +146,7 @@ def write_questions(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
 
 
 def write_statistics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
-    exposure = spark.read.parquet(f"{out_dir}/{EXPOSURE}").drop("last_updated")
+    exposure = read(spark, out_dir, EXPOSURE).drop("last_updated")
     with sinks.publication(spark) as tables:
         described = statistics.column_statistics(exposure, EXPOSURE.replace("/", "."))
         categories = model.conform(
@@ -140,22 +164,6 @@ def write_statistics(spark: SparkSession, out_dir: str, as_of: datetime) -> None
         )
 
 
-TABLES = [
-    "customers",
-    "channels",
-    "traffic",
-    "traffic_rejects",
-    PERIODS,
-    EXPOSURE,
-    "business_analytics/segment_analysis",
-    "business_analytics/recent_customers",
-    "business_analytics/top_customers",
-    "business_analytics/monthly_active_customers",
-    "descriptive_statistics/column_statistics",
-    "descriptive_statistics/industry_exposure_extended",
-]
-
-
 def monthly_run(
     spark: SparkSession,
     in_dir: str,
@@ -166,10 +174,12 @@ def monthly_run(
 ) -> DataFrame:
     """Runs every step and returns the row count of each table written. The freshness of
     the metrics is looked at before the questions; only ``require_fresh`` acts on it."""
+    size_shuffles(spark, in_dir)
     write_star(spark, in_dir, out_dir, as_of, fill_defaults)
     write_metrics(spark, out_dir, as_of)
-    periods = spark.read.parquet(f"{out_dir}/{PERIODS}")
-    metrics.freshness(periods, "last_updated", as_of, require_fresh)
+    periods = read(spark, out_dir, PERIODS)
+    report = metrics.freshness(periods, "last_updated", as_of, require_fresh).first()
+    log.log(logging.INFO if report["success"] else logging.WARNING, report["message"])
     write_questions(spark, out_dir, as_of)
     write_statistics(spark, out_dir, as_of)
-    return aggregates.row_counts({t: spark.read.parquet(f"{out_dir}/{t}") for t in TABLES})
+    return aggregates.row_counts({t: read(spark, out_dir, t) for t in TABLES})

@@ -31,12 +31,11 @@ def quartile_categories(
     points of all columns are one row of one pass."""
     if exact:
         found = quantiles.exact_percentiles(df, {c: [0.25, 0.75] for c in columns})
-        cuts = {c: [F.lit(v) for v in found[c]] for c in columns}
     else:
-        cut_row = df.agg(
-            *[F.percentile_approx(c, [0.25, 0.75]).alias(c) for c in columns]
-        ).first()
-        cuts = {c: [F.lit(v) for v in cut_row[c]] for c in columns}
+        sketched = [F.percentile_approx(c, [0.25, 0.75]).alias(c) for c in columns]
+        found = df.agg(*sketched).first().asDict()
+    # Without values there are no cut points, and every row is in the last category.
+    cuts = {c: [F.lit(v) for v in found[c] or (None, None)] for c in columns}
     return df.withColumns(
         {
             f"{c}_category": numbers.band(F.col(c), *cuts[c], null_category=null_category)

@@ -8,6 +8,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Input bytes per shuffle partition, and the most partitions asked for. Shuffles here carry
+# a few columns, partly aggregated, so a partition holds well under this.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+
 _local_base: str | None = None
 
 
@@ -25,6 +30,21 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Raises the session's shuffle partitions to suit the stored size of the input, so
+    that a partition fits a task's memory; adaptive execution joins those that turn out
+    small. Settings that are high enough, or made without adaptive execution, stay."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        return current
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    wanted = min(MAX_PARTITIONS, fs.getContentSummary(location).getLength() // PARTITION_BYTES)
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(current, wanted)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -39,20 +39,23 @@ class Publication:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.rows: dict[str, int] = {}
+        self._schemas: dict[str, StructType] = {}
         self._staged: dict[str, str] = {}
         self._run = uuid.uuid4().hex[:12]
 
     def stage(self, path: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         aside = f"{path.rstrip('/')}__staged_{self._run}"
-        self._staged[path] = aside
-        counted = Observation()
-        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+        self._staged[path], self._schemas[path] = aside, df.schema
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(aside)
-        self.rows[path] = counted.get["rows"]
-        return self.spark.read.parquet(aside)
+        # A partitioned table without rows has no file to tell its columns.
+        return self.spark.read.schema(df.schema).parquet(aside)
+
+    def rows(self, path: str) -> int:
+        """The rows of a table in place, counted from its file footers."""
+        return self.spark.read.schema(self._schemas[path]).parquet(path).count()
 
     def stage_all(self, tables: dict[str, DataFrame]) -> None:
         """Stages tables that do not depend on each other, as concurrent jobs."""
@@ -120,11 +123,10 @@ def stamped(df: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str, as_of: datetime) -> int:
-    """Replaces the table's rows, stamps them with the run time and returns their number,
-    which is counted by the write itself."""
+    """Replaces the table's rows, stamps them with the run time and returns their number."""
     with publication(df.sparkSession) as tables:
         tables.stage(path, stamped(df, as_of))
-    return tables.rows[path]
+    return tables.rows(path)
 
 
 def replace_database_table(df: DataFrame, table: JdbcTable, as_of: datetime) -> None:
@@ -149,7 +151,7 @@ def upsert(path: str, updates: DataFrame, keys: list[str], as_of: datetime) -> i
         if tables.exists(path):
             fresh = merged(spark.read.parquet(path), fresh, keys)
         tables.stage(path, fresh)
-    return tables.rows[path]
+    return tables.rows(path)
 
 
 def table_exists(spark: SparkSession, ref: str) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import CHANNELS, CUSTOMERS, TRAFFIC, d, rows
 from revmill import model
 from revmill.operators import contracts, joins, keys
-from revmill.plans import load, monthly
+from revmill.plans import load, metrics, monthly
 from revmill.sources import sinks
 
 RUN = datetime(2024, 3, 15, 9)
@@ -289,3 +289,13 @@ def test_a_broken_rule_leaves_the_previous_star(spark, tmp_path, bad, message):
     if "NULL" in bad:
         monthly.write_star(spark, raw, out, RUN, fill_defaults=True)
         assert spark.read.parquet(f"{out}/traffic").agg(F.sum("revenue_eur")).first()[0] == 0
+
+
+def test_a_month_without_traffic(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    raw_files(spark, raw, raw_traffic(spark).where("false"))
+    got = {r.table_name: r.row_count for r in monthly.monthly_run(spark, raw, out, RUN).collect()}
+    assert got["traffic"] == got["customers_revenue_by_period"] == 0
+    assert got["business_analytics/industry_exposure"] == 2
+    with pytest.raises(metrics.StaleError):
+        monthly.monthly_run(spark, raw, out, RUN, require_fresh=True)

@@ -189,3 +189,15 @@ def test_no_machine_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Cluster())
+
+
+def test_shuffles_grow_with_the_input_and_never_shrink(spark, tmp_path, monkeypatch):
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (tmp_path / "data").write_bytes(b"x" * 1000)
+    assert session.size_shuffles(spark, str(tmp_path)) == before
+    monkeypatch.setattr(session, "PARTITION_BYTES", 10)
+    try:
+        assert session.size_shuffles(spark, str(tmp_path)) == 100
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))

@@ -124,3 +124,12 @@ def test_categories(spark, exact):
     got = statistics.industry_categories(df, exact).orderBy("industry").collect()
     assert [r.total_revenue_category for r in got] == ["Low"] * 2 + ["Mid"] * 4 + ["High"] * 2
     assert [r.customer_count_category for r in got] == ["High"] * 2 + ["Mid"] * 4 + ["Low"] * 2
+
+
+@pytest.mark.parametrize("exact", [False, True])
+def test_categories_of_no_rows_and_of_nulls(spark, exact):
+    schema = "industry string, total_revenue decimal(15,2), customer_count bigint"
+    assert statistics.industry_categories(spark.createDataFrame([], schema), exact).count() == 0
+    nulls = spark.createDataFrame([("a", None, 1), ("b", None, 2)], schema)
+    got = statistics.industry_categories(nulls, exact).collect()
+    assert [r.total_revenue_category for r in got] == ["High", "High"]
