@@ -15,7 +15,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType
+from pyspark.sql.types import DataType, DecimalType, FractionalType, IntegralType, StringType
+
+from ..session import cut_lineage
 
 # Values that one task may sort.
 SORTABLE = 50_000
@@ -23,6 +25,8 @@ SORTABLE = 50_000
 _SKETCH_K = 8_192
 _ACCURACY = 10_000
 _MARGIN = 1 / 1_000
+# Ranges that text values are split into at a time.
+_RANGES = 128
 
 
 def _ends(at: float, margin: float = _MARGIN) -> list[float]:
@@ -126,9 +130,34 @@ def nth_value(df: DataFrame, column: str, rank: int, sortable: int = SORTABLE) -
     if not 1 <= rank <= size:
         return None
     kind = df.schema[column].dataType
+    if isinstance(kind, StringType):
+        return _nth_text(df, column, rank)
     return _solve(df, [_Search(column, kind, rank, size)], sortable)[0]
 
 
+def _nth_text(df: DataFrame, column: str, rank: int) -> str:
+    """Text has no quantile sketch. Its distinct values are counted, split into ranges, and
+    only the range that holds the rank is split again."""
+    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    values = cut_lineage(values)
+    while True:
+        part = F.spark_partition_id().alias("_part")
+        ranges = (
+            values.repartitionByRange(_RANGES, column)
+            .select(column, "_n", part)
+            .groupBy("_part")
+            .agg(F.sum("_n"), F.min(column), F.max(column))
+        )
+        # At most _RANGES rows; ranges with a higher number hold higher values.
+        for _, rows, low, high in ranges.orderBy("_part").collect():
+            if rank <= rows:
+                break
+            rank -= rows
+        if low == high:
+            return low
+        values = values.where(F.col(column).between(low, high))
+
+
 def percentile_sketches(df: DataFrame, wanted: dict[str, list[float]]) -> list[Column]:
     """What ``exact_percentiles`` has to know first. A caller that aggregates the same
     rows anyway adds these to its own pass and hands the row over."""

@@ -77,10 +77,5 @@ def _above_cut(df: DataFrame, measure: str, n: int, tiebreak: str) -> DataFrame:
         cut = nth_value(df, measure, valued - n + 1)
         above = df.agg(F.count_if(value > F.lit(cut))).first()[0]
         kept, ties, missing = value > F.lit(cut), value == F.lit(cut), n - above
-    equal = df.where(ties)
-    if dict(df.dtypes)[tiebreak] == "string":
-        # Text keys have no sketch; only the fill-up among equal measures is ordered.
-        fill = equal.orderBy(tiebreak).limit(missing)
-        return df.where(kept).unionByName(fill)
-    last_key = nth_value(equal, tiebreak, missing)
+    last_key = nth_value(df.where(ties), tiebreak, missing)
     return df.where(kept | (ties & (F.col(tiebreak) <= F.lit(last_key))))

@@ -93,6 +93,16 @@ def test_nth_value_of_longs_decimals_and_dates(spark):
         assert quantiles.nth_value(df, c, 1001) is None
 
 
+def test_nth_value_of_text(spark):
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE hex(id * 7919) END AS s"
+    )
+    want = sorted(r[0] for r in df.where("s IS NOT NULL").collect())
+    for rank in (1, 2, 777, len(want) // 2, len(want)):
+        assert quantiles.nth_value(df, "s", rank) == want[rank - 1]
+    assert quantiles.nth_value(df, "s", len(want) + 1) is None
+
+
 def test_nan_ranks_after_all_numbers(spark):
     df = spark.range(900).selectExpr("IF(id % 3 = 0, double('NaN'), double(id)) AS x")
     low, high = quantiles.exact_percentiles(df, {"x": [0.5, 0.9]}, sortable=10)["x"]
