@@ -84,11 +84,15 @@ TRAFFIC_ROW = """CAST(traffic_id AS BIGINT) AS traffic_id, CAST(send_date AS VAR
     CAST(revenue_eur AS DOUBLE) AS revenue_eur"""
 
 EXPOSURE = """
-exposure AS (
-    SELECT industry, COALESCE(SUM(revenue_eur), 0) AS total_revenue,
-        COUNT(DISTINCT c.customer_id) AS customer_count
-    FROM customers c LEFT JOIN traffic t ON t.customer_id = c.customer_id
+members AS (SELECT industry, COUNT(*) AS customer_count FROM customers GROUP BY industry),
+earned AS (
+    SELECT industry, SUM(revenue_eur) AS total_revenue
+    FROM traffic NATURAL JOIN (SELECT customer_id, industry FROM customers)
     GROUP BY industry
+),
+exposure AS (
+    SELECT industry, COALESCE(total_revenue, 0) AS total_revenue, customer_count
+    FROM members LEFT JOIN earned USING (industry)
 )"""
 
 
@@ -151,10 +155,12 @@ def active_top(entity: str, population: str, facts: str, active: str) -> str:
     return f"""
     SELECT {entity}, CAST(total AS DOUBLE) AS total_revenue
     FROM (
-        SELECT {entity}, SUM(revenue_eur) AS total FROM {facts}
-        GROUP BY {entity} ORDER BY total DESC, {entity}
-        LIMIT (SELECT CAST(CEIL(COUNT(DISTINCT {entity}) * 0.1) AS BIGINT) FROM {population})
-    ) WHERE {entity} IN ({active})"""
+        SELECT {entity}, SUM(revenue_eur) AS total,
+            ROW_NUMBER() OVER (ORDER BY SUM(revenue_eur) DESC, {entity}) AS nth
+        FROM {facts} GROUP BY {entity}
+    )
+    WHERE nth <= (SELECT (COUNT(DISTINCT {entity}) + 9) // 10 FROM {population})
+        AND {entity} IN ({active})"""
 
 
 def statistics(table: str, name: str, columns: list[str]) -> str:
@@ -215,6 +221,7 @@ def pick(values: list[str], index: str) -> str:
     return f"([{', '.join(repr(v) for v in values)}])[{index}]"
 
 
+# What synthetic customers can be, and the message channels.
 SYNTH_SEGMENTS = ["Enterprise", "SMB", "Startup", "Mid-Market"]
 SYNTH_INDUSTRIES = [
     "Technology",
@@ -427,9 +434,12 @@ ORACLES: dict[str, str] = {
     ),
     "top_fraction": f"""
         WITH {CUSTOMERS}, {TRAFFIC}
-        SELECT customer_id, CAST(SUM(revenue_eur) AS DOUBLE) AS total_revenue
-        FROM traffic GROUP BY customer_id ORDER BY SUM(revenue_eur) DESC, customer_id
-        LIMIT (SELECT CAST(CEIL(COUNT(DISTINCT customer_id) * 0.1) AS BIGINT) FROM customers)""",
+        SELECT customer_id, CAST(total AS DOUBLE) AS total_revenue
+        FROM (
+            SELECT customer_id, SUM(revenue_eur) AS total,
+                ROW_NUMBER() OVER (ORDER BY SUM(revenue_eur) DESC, customer_id) AS nth
+            FROM traffic GROUP BY customer_id
+        ) WHERE nth <= (SELECT (COUNT(*) + 9) // 10 FROM customers)""",
     "date_and_math_functions": """
         WITH o AS (
             SELECT *, CAST(o_orderdate AS DATE) AS d,
@@ -511,25 +521,30 @@ ORACLES: dict[str, str] = {
         FROM exposure""",
     "q2_segment_share": f"""
         WITH {CUSTOMERS}
-        SELECT segment, COUNT(DISTINCT customer_id) AS client_count,
-            CAST(ROUND(CAST(COUNT(DISTINCT customer_id) * 100.0
-                / SUM(COUNT(DISTINCT customer_id)) OVER () AS DECIMAL(18,6)), 2) AS DOUBLE)
+        SELECT segment, n AS client_count, CAST(ROUND(CAST(
+                100 * n / (SELECT COUNT(*) FROM customers) AS DECIMAL(18,6)), 2) AS DOUBLE)
                 AS percentage_share
-        FROM customers GROUP BY segment""",
+        FROM (SELECT segment, COUNT(*) AS n FROM customers GROUP BY segment)""",
     "q3_segment_changes": f"""
         WITH {CUSTOMERS}, {TRAFFIC}
-        SELECT c.customer_id FROM customers c JOIN traffic t ON t.customer_id = c.customer_id
-        WHERE send_date >= {AS_OF} - INTERVAL 12 MONTH
-        GROUP BY c.customer_id HAVING COUNT(DISTINCT segment) >= 2""",
+        SELECT DISTINCT a.customer_id
+        FROM customers a JOIN customers b ON a.customer_id = b.customer_id
+            AND a.segment < b.segment
+        WHERE EXISTS (SELECT 1 FROM traffic t WHERE t.customer_id = a.customer_id
+            AND send_date >= {AS_OF} - INTERVAL 12 MONTH)""",
     "q3_segment_changes_history": f"""
         WITH {TRAFFIC}
         SELECT customer_id FROM traffic WHERE send_date >= {AS_OF} - INTERVAL 12 MONTH
         GROUP BY customer_id HAVING COUNT(DISTINCT channel_id) >= 2""",
     "q4_top_customers": f"""
         WITH {CUSTOMERS}, {TRAFFIC}
-        SELECT c.customer_id, CAST(SUM(revenue_eur) AS DOUBLE) AS total_revenue
-        FROM customers c JOIN traffic t ON t.customer_id = c.customer_id
-        GROUP BY c.customer_id ORDER BY SUM(revenue_eur) DESC, c.customer_id LIMIT 20""",
+        SELECT customer_id, CAST(total AS DOUBLE) AS total_revenue
+        FROM (
+            SELECT customer_id, SUM(revenue_eur) AS total,
+                ROW_NUMBER() OVER (ORDER BY SUM(revenue_eur) DESC, customer_id) AS nth
+            FROM traffic WHERE customer_id IN (SELECT customer_id FROM customers)
+            GROUP BY customer_id
+        ) WHERE nth <= 20""",
     "q5_months_active": f"""
         WITH {TRAFFIC}
         SELECT customer_id, COUNT(DISTINCT DATE_TRUNC('month', send_date))
@@ -584,10 +599,10 @@ ORACLES: dict[str, str] = {
             ELSE 'No records updated this month' END AS message, updated_rows > 0 AS success
         FROM (
             SELECT 'orders' AS table_name, COUNT(*) AS updated_rows FROM orders
-            WHERE DATE_TRUNC('month', o_orderdate) = DATE '2001-07-01'
+            WHERE STRFTIME(o_orderdate, '%Y-%m') = '2001-07'
             UNION ALL
             SELECT 'events', COUNT(*) FROM events
-            WHERE DATE_TRUNC('month', ts) = DATE '2024-02-01'
+            WHERE STRFTIME(ts, '%Y-%m') = '2024-02'
         )""",
     "column_statistics": statistics("lineitem", "lineitem", LINEITEM_NUMBERS),
     "column_statistics_exposure": f"""
@@ -613,8 +628,9 @@ ORACLES: dict[str, str] = {
             SELECT customer_id, SUM(revenue_eur) AS total FROM loaded_traffic GROUP BY customer_id
         ),
         leaders AS (
-            SELECT customer_id FROM totals ORDER BY total DESC, customer_id
-            LIMIT (SELECT CAST(CEIL(COUNT(*) * 0.1) AS BIGINT) FROM loaded_customers)
+            SELECT customer_id
+            FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY total DESC, customer_id) AS nth FROM totals)
+            WHERE nth <= (SELECT (COUNT(*) + 9) // 10 FROM loaded_customers)
         ),
         steady AS (
             SELECT customer_id FROM loaded_traffic

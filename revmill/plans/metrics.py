@@ -9,6 +9,11 @@ from ..functions import dates, numbers
 from ..operators import aggregates
 
 
+# The texts of the report.
+UPDATED = "Table updated this month with %d records"
+NOT_UPDATED = "No records updated this month"
+
+
 class StaleError(RuntimeError):
     """A table was not updated in the month it is needed for."""
 
@@ -47,8 +52,8 @@ def freshness(
     fresh = F.col("updated_rows") > 0
     report = counted.select(
         "updated_rows",
-        F.when(fresh, F.format_string("Table updated this month with %d records", "updated_rows"))
-        .otherwise(F.lit("No records updated this month"))
+        F.when(fresh, F.format_string(UPDATED, "updated_rows"))
+        .otherwise(F.lit(NOT_UPDATED))
         .alias("message"),
         fresh.alias("success"),
     )
