@@ -10,7 +10,7 @@ LABELS = ("Low", "Mid", "High")
 
 
 def pct_change(current: Column, previous: Column, digits: int = 2, otherwise: float = 0) -> Column:
-    """Growth in percent, or ``otherwise`` where the base is not positive. Decimals round half up."""
+    """Growth in percent, ``otherwise`` where the base is not positive. Decimals round half up."""
     growth = (current - previous) / F.when(previous > 0, previous) * 100
     return F.when(previous > 0, F.round(growth, digits)).otherwise(F.lit(otherwise))
 

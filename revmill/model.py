@@ -55,8 +55,9 @@ REVENUE_BY_PERIOD = _table(
     ("revenue_last_quarter", MONEY),
     ("revenue_mtd", MONEY),
     ("revenue_ytd", MONEY),
-    # Wider than the 5 digits of the row store: growth of 1000 % and more occurs.
-    ("revenue_increase_pct_qoq", DecimalType(12, 2), True),
+    # Wider than the 5 digits of the row store: growth of 1000 % and more occurs, and a
+    # base of one cent must not end the run.
+    ("revenue_increase_pct_qoq", DecimalType(18, 2), True),
     ("last_updated", TimestampType(), True),
 )
 INDUSTRY_EXPOSURE = _table(

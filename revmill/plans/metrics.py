@@ -36,7 +36,7 @@ def revenue_by_period(
     growth = numbers.pct_change(F.col("revenue_current_quarter"), F.col("revenue_last_quarter"))
     return (
         sums.withColumns(rounded)
-        .withColumn("revenue_increase_pct_qoq", growth.cast("decimal(12,2)"))
+        .withColumn("revenue_increase_pct_qoq", growth.cast("decimal(18,2)"))
         .drop("revenue_current_quarter")
     )
 

@@ -96,7 +96,8 @@ def test_resolved_and_rejected_rows_are_all_rows(spark, bound):
 
 
 def test_measured_bytes_grow_with_rows_and_text(spark):
-    small, large = dimension(spark), dimension(spark).selectExpr("account_id", "repeat(name, 9) AS name")
+    small = dimension(spark)
+    large = small.selectExpr("account_id", "repeat(name, 9) AS name")
     assert 150 * 40 < joins.measured_bytes(small) < joins.measured_bytes(large)
     assert joins.measured_bytes(small.where("false")) == 0
     assert joins.fits(small) and not joins.fits(small, 100)

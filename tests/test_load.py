@@ -73,7 +73,8 @@ def test_rejects_carry_the_first_reason(spark):
 
 
 def test_accepted_and_rejected_rows_are_the_input(spark):
-    who, channels = load.load_customers(raw_customers(spark)), load.load_channels(raw_channels(spark))
+    who = load.load_customers(raw_customers(spark))
+    channels = load.load_channels(raw_channels(spark))
     raw = raw_traffic(spark)
     accepted = joins.resolve_keys(raw, who, channels)
     rejected = joins.rejects(raw, who, channels)
@@ -103,7 +104,8 @@ def test_reducing_before_resolving_equals_resolving_before(spark):
 
 def test_last_wins_overwrites_also_with_null_and_with_text(spark):
     df = spark.createDataFrame(
-        [(1, "k", 5, "a"), (2, "k", None, "b"), (1, "j", 7, None)], "seq int, k string, n int, t string"
+        [(1, "k", 5, "a"), (2, "k", None, "b"), (1, "j", 7, None)],
+        "seq int, k string, n int, t string",
     )
     assert rows(keys.last_wins(df, ["k"])) == [(1, "j", 7, None), (2, "k", None, "b")]
     assert rows(keys.last_wins(df.drop("t"), ["k"])) == [(1, "j", 7), (2, "k", None)]
@@ -145,7 +147,9 @@ def test_rules_count_false_and_not_unknown(spark):
 
 
 def test_fit(spark):
-    df = spark.createDataFrame([("abc", 999.99), ("abcd", 1000.0), (None, None)], "s string, x double")
+    df = spark.createDataFrame(
+        [("abc", 999.99), ("abcd", 1000.0), (None, None)], "s string, x double"
+    )
     limits = {"s": 3, "x": model.FIT_LIMITS["revenue_by_period"]["revenue_increase_pct_qoq"]}
     assert rows(contracts.check_fit(df, limits)) == [
         ("s fits varchar(3)", 1),
@@ -154,7 +158,10 @@ def test_fit(spark):
 
 
 def test_defaults_keep_types(spark):
-    df = spark.createDataFrame([(None, None), (3, Decimal("1.50"))], "interactions_count int, revenue_eur decimal(12,2)")
+    df = spark.createDataFrame(
+        [(None, None), (3, Decimal("1.50"))],
+        "interactions_count int, revenue_eur decimal(12,2)",
+    )
     got = contracts.apply_defaults(df, model.TRAFFIC_DEFAULTS)
     assert got.dtypes == df.dtypes
     assert rows(got) == [(0, Decimal("0.00")), (3, Decimal("1.50"))]

@@ -100,6 +100,12 @@ def test_growth_beyond_1000_percent_is_kept(spark):
     assert got["revenue_increase_pct_qoq"] == 9900
 
 
+def test_growth_from_one_cent_to_the_largest_amount(spark):
+    days = [("2024-01-02", "0.01"), ("2024-04-01", "9999999999.99")]
+    got = one_customer(spark, days, "2024-04-02")
+    assert got["revenue_increase_pct_qoq"] == Decimal("99999999999800.00")
+
+
 def test_old_rows_only_give_zeros_and_no_key_no_row(spark):
     sent = traffic(spark, [("2020-01-01", 1, 5), ("2024-03-01", None, 9)])
     got = [r.asDict() for r in metrics.revenue_by_period(sent, "2024-03-15").collect()]

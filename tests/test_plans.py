@@ -22,7 +22,9 @@ def test_no_cross_join_no_python_no_global_window(spark, name):
         assert operator not in text
 
 
-@pytest.mark.parametrize("name", ["last_12_months", "q5_months_active", "q3_segment_changes_history"])
+@pytest.mark.parametrize(
+    "name", ["last_12_months", "q5_months_active", "q3_segment_changes_history"]
+)
 def test_the_cutoff_reaches_the_scan(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert "GreaterThanOrEqual(o_orderdate,2000-07-15T00:00)" in text

@@ -141,7 +141,8 @@ def test_large_top_fraction_equals_the_sorted_one(spark, fraction):
     # A third of the rows share one measure, and some have none.
     df = spark.range(3000).selectExpr(
         "id",
-        "CASE WHEN id % 3 = 0 THEN 500 WHEN id % 50 = 1 THEN NULL ELSE pmod(hash(id), 1000) END AS m",
+        "CASE WHEN id % 3 = 0 THEN 500 WHEN id % 50 = 1 THEN NULL "
+        "ELSE pmod(hash(id), 1000) END AS m",
     )
     want = rows(ranking.top_fraction(df, "m", fraction, "id"))
     assert rows(ranking.top_fraction(df, "m", fraction, "id", take_rows=0)) == want
@@ -160,10 +161,11 @@ def test_order_desc_places_nulls(spark):
 
 
 def test_sums_are_exact_and_overflow_raises(spark):
-    df = spark.range(3).selectExpr("1 AS k", "CAST(99999999999999.99 AS DECIMAL(16,2)) AS m")
+    row = ("1 AS k", "CAST(99999999999999.99 AS DECIMAL(16,2)) AS m")
+    df = spark.range(3).selectExpr(*row)
     assert aggregates.total_by(df, "k", "m").first()[1] == Decimal("299999999999999.97")
     wide = df.selectExpr("k", "CAST(m AS DECIMAL(30,4)) AS m")
     assert aggregates.total_by(wide, "k", "m").first()[1] == Decimal("299999999999999.9700")
-    many = spark.range(1_000_000).selectExpr("1 AS k", "CAST(99999999999999.99 AS DECIMAL(16,2)) AS m")
+    many = spark.range(1_000_000).selectExpr(*row)
     with pytest.raises(Exception, match="OVERFLOW"):
         aggregates.total_by(many, "k", "m").collect()

@@ -33,9 +33,12 @@ def test_bad_values_become_null_and_keep_their_line(spark, tmp_path):
 
 
 def test_typed_text(spark):
-    df = spark.createDataFrame([("2024-02-30", "1.5", "k"), ("2024-02-29", "x", "k")], "send_date string, revenue_eur string, other string")
+    df = spark.createDataFrame(
+        [("2024-02-30", "1.5", "k"), ("2024-02-29", "x", "k")],
+        "send_date string, revenue_eur string, other string",
+    )
     got = files.typed(df, model.TRAFFIC)
-    assert got.dtypes == [("send_date", "date"), ("revenue_eur", "decimal(12,2)"), ("other", "string")]
+    assert [t for _, t in got.dtypes] == ["date", "decimal(12,2)", "string"]
     assert [r[0] for r in got.collect()] == [None, date(2024, 2, 29)]
 
 
@@ -67,38 +70,49 @@ def test_sql_text_runs_its_statements(spark, tmp_path):
         "SELECT id + :more AS id FROM big WHERE id < :top;\n"
     )
     for where in (path, str(path)):
-        got = files.run_sql_file(spark, Path(where) if where is path else where, {"n": spark.range(9)}, {"more": 10, "top": 5})
+        views, params = {"n": spark.range(9)}, {"more": 10, "top": 5}
+        got = files.run_sql_file(spark, where, views, params)
         assert rows(got) == [(13,), (14,)]
 
 
 def test_files_come_back(spark, tmp_path):
-    df = spark.createDataFrame([(1, d("2024-01-01"), 'a "quoted", text')], "i int, day date, s string")
+    df = spark.createDataFrame(
+        [(1, d("2024-01-01"), 'a "quoted", text')], "i int, day date, s string"
+    )
     sinks.write_json(df, str(tmp_path / "j"))
     assert rows(spark.read.schema(df.schema).json(str(tmp_path / "j"))) == rows(df)
     texts = [p.read_text() for p in (tmp_path / "j").glob("part*")]
     assert '"day":"2024-01-01"' in "".join(texts)
     sinks.write_csv(df.drop("s"), str(tmp_path / "c"))
-    assert rows(files.read_csv(spark, str(tmp_path / "c"), df.drop("s").schema)) == rows(df.drop("s"))
+    back = files.read_csv(spark, str(tmp_path / "c"), df.drop("s").schema)
+    assert rows(back) == rows(df.drop("s"))
 
 
 def test_partitioned_files(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "concat('c', id % 3) AS company")
     for _ in range(2):
         sinks.write_partitioned(df, str(tmp_path / "p"), "company", "id")
-    assert {p.name for p in (tmp_path / "p").glob("company=*")} == {f"company=c{i}" for i in range(3)}
-    back = spark.read.option("header", True).schema("id bigint, company string").csv(str(tmp_path / "p"))
+    folders = {p.name for p in (tmp_path / "p").glob("company=*")}
+    assert folders == {f"company=c{i}" for i in range(3)}
+    reader = spark.read.option("header", True).schema("id bigint, company string")
+    back = reader.csv(str(tmp_path / "p"))
     assert rows(back) == rows(df)
 
 
 def test_describe(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "`a.b` int not null, c string")
-    assert rows(sinks.describe_table(df)) == [(1, "a.b", "int", False, 0), (2, "c", "string", True, 1)]
+    assert rows(sinks.describe_table(df)) == [
+        (1, "a.b", "int", False, 0),
+        (2, "c", "string", True, 1),
+    ]
 
 
 RESPONSE = (
     '{"Meta Data": {}, "Time Series (Daily)": {'
-    '"2024-01-03": {"1. open": "3", "2. high": "4", "3. low": "2", "4. close": "x", "5. volume": "9"},'
-    '"2023-12-29": {"1. open": "1.5", "2. high": "4", "3. low": "1", "4. close": "2", "5. volume": "7"}}}'
+    '"2024-01-03": {"1. open": "3", "2. high": "4", "3. low": "2", "4. close": "x",'
+    ' "5. volume": "9"},'
+    '"2023-12-29": {"1. open": "1.5", "2. high": "4", "3. low": "1", "4. close": "2",'
+    ' "5. volume": "7"}}}'
 )
 
 
@@ -123,7 +137,8 @@ def test_union_fills_missing_columns_and_counts(spark):
     b = spark.createDataFrame([("y",), (None,)], "company string")
     union = series.union_series(a, b)
     assert rows(union) == [(1, "x"), (2, "x"), (None, "y"), (None, None)]
-    assert [tuple(r) for r in aggregates.value_counts(union, "company").collect()] == [("x", 2), ("y", 1)]
+    counts = aggregates.value_counts(union, "company").collect()
+    assert [tuple(r) for r in counts] == [("x", 2), ("y", 1)]
     assert ranking.head(union, ["company", "n"], 2).count() == 2
 
 

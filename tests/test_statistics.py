@@ -47,7 +47,8 @@ def test_profile_values(spark, exact):
 
 
 def test_decimals_are_left_out_of_double_int(spark):
-    df = spark.createDataFrame([], "industry string, total_revenue decimal(15,2), customer_count int")
+    schema = "industry string, total_revenue decimal(15,2), customer_count int"
+    df = spark.createDataFrame([], schema)
     got = statistics.column_statistics(df, "t", "double_int").collect()
     assert [r.column_name for r in got] == ["customer_count"]
     assert [r.column_name for r in statistics.column_statistics(df, "t").collect()] == [
