@@ -14,6 +14,7 @@ PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 50_000
 
 _local_base: str | None = None
+_sizes: dict[str, int] = {}
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -37,14 +38,21 @@ def size_shuffles(spark: SparkSession, path: str) -> int:
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.enabled") != "true":
         return current
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    wanted = min(MAX_PARTITIONS, fs.getContentSummary(location).getLength() // PARTITION_BYTES)
+    wanted = min(MAX_PARTITIONS, _stored_bytes(spark, path) // PARTITION_BYTES)
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(current, wanted)
 
 
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a folder, listed once, as a listing of very many files takes time."""
+    if path not in _sizes:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+        _sizes[path] = fs.getContentSummary(location).getLength()
+    return _sizes[path]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
