@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, exact_dedup, packing, token_counts
+from revmill.llm import bpe, decontam, exact_dedup, line_dedup, packing, simhash, token_counts, toxicity
+from revmill.llm.common import fold
 from revmill.session import scratch
 
 SEQUENCE = 2048
@@ -23,12 +24,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), fold(5) != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (fold(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "sentences",
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, max_bits=2)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     counts = token_counts.count_tokens(docs, bpe.default_tokenizer(), scratch(spark, "token-cache"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that is left of each document, and the ranges cut from the old one."""
+    cut = line_dedup.drop_common_blocks(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "removed", "removed_lines", "removed_words")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, bpe.default_tokenizer(), SEQUENCE, END_ID)
@@ -39,7 +66,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
+    "op3_simhash": op3_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }

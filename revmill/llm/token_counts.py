@@ -89,5 +89,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str) -> DataFrame:
     keyed = docs.select("doc_id", F.sha2(text_of().cast("binary"), 256).alias("digest"), text_of().alias("text"))
     rows = cut_lineage(keyed.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")))
     fill_cache(keyed.select("digest", "text"), rows, tokenizer, cache)
-    counts = read_cache(spark, cache, version_of(tokenizer))
+    # Written, so that the join deals both sides out and can split a text that many rows share.
+    counts = read_cache(spark, cache, version_of(tokenizer)).join(rows.select("digest").distinct(), "digest")
+    counts = cut_lineage(counts)
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
