@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, decontam, exact_dedup, line_dedup, packing, simhash, token_counts, toxicity
+from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, packing, simhash, token_counts, toxicity
 from revmill.llm.common import fold
 from revmill.session import scratch
 
 SEQUENCE = 2048
 END_ID = 0
 TOKEN_LIMIT = 512
+SHARDS = 24
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,33 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = kneser_ney.train(docs, fold(10) != 0)
+    return kneser_ney.score(docs, model).select(
+        "doc_id",
+        (fold(10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.kd_shards(_table(spark, sf_dir, "documents"), SHARDS).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     counts = token_counts.count_tokens(docs, bpe.default_tokenizer(), scratch(spark, "token-cache"))
@@ -69,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_simhash": op3_simhash,
+    "op4_kneser_ney": op4_kneser_ney,
+    "op5_kd_shards": op5_kd_shards,
     "op6_token_counts": op6_token_counts,
     "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
