@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, packing, simhash, token_counts, toxicity
+from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, packing, simhash, token_counts, toxicity, warc
 from revmill.llm.common import fold
 from revmill.session import scratch
 
@@ -89,6 +89,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, bpe.default_tokenizer(), SEQUENCE, END_ID)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(_table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -102,10 +106,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_line_dedup": op7_line_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_decontamination": r"""
+        WITH words AS (
+            SELECT 'd' AS side, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+            FROM documents
+            UNION ALL
+            SELECT 'i', item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')
+            FROM benchmark
+        ), shingles AS (
+            SELECT DISTINCT side, id, unnest(list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s
+            FROM words WHERE len(w) > 0
+        ), sizes AS (SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id)
+        SELECT d.id AS doc_id, i.id AS item_id, any_value(n)::INT AS item_shingles, count(*)::INT AS shared_shingles,
+               count(*) / any_value(n) AS containment
+        FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' JOIN sizes ON sizes.id = i.id
+        GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n)
+    """,
+    "op9_warc": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+            FROM pages
+        ), bits AS (
+            SELECT *, array_to_string(list_transform(string_split(hex, ''),
+                   lambda c: lpad(bin(instr('0123456789abcdef', c) - 1), 4, '0')), '') AS b
+            FROM hashed
+        )
+        SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + list_sum(list_transform(range(5), lambda k: (substr(b, 5 * i::INT + k::INT + 1, 1) = '1')::INT * (16 >> k::INT)))::INT, 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM bits
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
