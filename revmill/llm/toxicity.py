@@ -199,6 +199,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit = Fit(
 
     fitted = sample.select("text", "__toxic").coalesce(1).mapInArrow(run, "features binary, weights binary, bias double")
     row = fitted.first()
+    if row is None:  # no partition at all
+        return fit_model([], np.zeros(0))
     return Model(np.frombuffer(row["features"], np.uint64), np.frombuffer(row["weights"]), row["bias"])
 
 
