@@ -32,12 +32,14 @@ traffic AS (
 )"""
 RAW = f"""{CUSTOMERS}, {TRAFFIC},
 raw_customers AS (
-    SELECT customer_id AS seq, customer_id % 700 AS account_id, customer_name, segment,
+    SELECT customer_id AS seq, customer_id // 2 AS account_id, customer_name, segment,
         industry, country, created_date
     FROM customers
 ),
 raw_traffic AS (
-    SELECT traffic_id AS seq, send_date, customer_id % 800 AS account_id, channel_id,
+    SELECT traffic_id AS seq, send_date,
+        CASE WHEN customer_id % 8 = 0 THEN -customer_id ELSE customer_id // 2 END AS account_id,
+        channel_id,
         interactions_count, revenue_eur
     FROM traffic
 ),
@@ -60,14 +62,10 @@ resolved AS (
     JOIN raw_channels ch USING (channel_id)
 ),
 loaded_traffic AS (
-    SELECT seq AS traffic_id, send_date, account_id, customer_id, channel_id,
-        interactions_count, revenue_eur
-    FROM (
-        SELECT *, ROW_NUMBER() OVER (
-            PARTITION BY send_date, account_id, customer_id, channel_id ORDER BY seq DESC
-        ) AS nth
-        FROM resolved
-    ) WHERE nth = 1
+    SELECT MIN(seq) AS traffic_id, send_date, account_id, customer_id, channel_id,
+        ARG_MAX(interactions_count, seq) AS interactions_count,
+        ARG_MAX(revenue_eur, seq) AS revenue_eur
+    FROM resolved GROUP BY send_date, account_id, customer_id, channel_id
 ),
 rejected AS (
     SELECT t.*, CASE WHEN c.customer_id IS NULL THEN 'unknown account'
@@ -328,7 +326,7 @@ ORACLES: dict[str, str] = {
     "replace_table": f"""
         WITH {TRAFFIC}
         SELECT customer_id, CAST(SUM(revenue_eur) AS DOUBLE) AS total_revenue,
-            COUNT(*) OVER () AS rows_written
+            '2001-07-15 09:00:00' AS last_updated, COUNT(*) OVER () AS rows_written
         FROM traffic GROUP BY customer_id""",
     "upsert_traffic_batch": f"""
         WITH {RAW}
@@ -355,9 +353,9 @@ ORACLES: dict[str, str] = {
         WITH {TRAFFIC}, earlier AS ({periods("traffic", AS_OF_EARLIER)}),
         recent AS (SELECT * FROM traffic WHERE send_date >= {AS_OF} - INTERVAL 6 MONTH),
         updates AS ({periods("recent", AS_OF)})
-        SELECT {PERIOD_ROW} FROM updates
+        SELECT {PERIOD_ROW}, '2001-07-15 09:00:00' AS last_updated FROM updates
         UNION ALL
-        SELECT {PERIOD_ROW} FROM earlier
+        SELECT {PERIOD_ROW}, '2001-04-15 09:00:00' AS last_updated FROM earlier
         WHERE customer_id NOT IN (SELECT customer_id FROM updates)""",
     "surrogate_keys": f"""
         WITH {RAW}
@@ -392,12 +390,9 @@ ORACLES: dict[str, str] = {
             CAST(CAST(m AS DATE) AS VARCHAR) AS mtd_start,
             CAST(CAST(DATE_TRUNC('year', d) AS DATE) AS VARCHAR) AS ytd_start
         FROM days""",
-    "numeric_columns": " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, '{kind}' AS data_type,
-            COUNT(*) FILTER ({c} IS NULL) AS null_count FROM lineitem"""
-        for c, kind in LINEITEM_TYPES
-        if kind in ("bigint", "int", "double")
-    ),
+    "numeric_columns": """
+        SELECT 'value' AS column_name, 'double' AS data_type,
+            COUNT(*) FILTER (value IS NULL) AS null_count FROM events""",
     "customers_with_traffic": f"""
         WITH {CUSTOMERS}, {TRAFFIC}
         SELECT c.customer_id, industry, CAST(send_date AS VARCHAR) AS send_date,
@@ -500,6 +495,10 @@ ORACLES: dict[str, str] = {
     "contract_fit": f"WITH {CUSTOMERS}, {TRAFFIC}, periods AS ({periods('traffic', AS_OF)}) "
     + rules(
         [
+            *[
+                (f"revenue_{p} fits decimal(12,2)", "periods", f"ABS(revenue_{p}) >= 1e10")
+                for p in ("last_month", "last_quarter", "mtd", "ytd")
+            ],
             (
                 "revenue_increase_pct_qoq fits decimal(5,2)",
                 "periods",
@@ -526,11 +525,11 @@ ORACLES: dict[str, str] = {
                 AS percentage_share
         FROM (SELECT segment, COUNT(*) AS n FROM customers GROUP BY segment)""",
     "q3_segment_changes": f"""
-        WITH {CUSTOMERS}, {TRAFFIC}
-        SELECT DISTINCT a.customer_id
-        FROM customers a JOIN customers b ON a.customer_id = b.customer_id
+        WITH {RAW}
+        SELECT DISTINCT a.account_id
+        FROM raw_customers a JOIN raw_customers b ON a.account_id = b.account_id
             AND a.segment < b.segment
-        WHERE EXISTS (SELECT 1 FROM traffic t WHERE t.customer_id = a.customer_id
+        WHERE EXISTS (SELECT 1 FROM raw_traffic t WHERE t.account_id = a.account_id
             AND send_date >= {AS_OF} - INTERVAL 12 MONTH)""",
     "q3_segment_changes_history": f"""
         WITH {TRAFFIC}
@@ -627,30 +626,49 @@ ORACLES: dict[str, str] = {
         WITH {RAW}, totals AS (
             SELECT customer_id, SUM(revenue_eur) AS total FROM loaded_traffic GROUP BY customer_id
         ),
-        leaders AS (
-            SELECT customer_id
-            FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY total DESC, customer_id) AS nth FROM totals)
+        ranked AS (SELECT *, ROW_NUMBER() OVER (ORDER BY total DESC, customer_id) AS nth FROM totals),
+        steady AS (
+            SELECT customer_id, total FROM ranked JOIN (
+                SELECT customer_id FROM loaded_traffic
+                WHERE send_date >= DATE '2000-07-01' AND send_date < DATE '2001-07-01'
+                GROUP BY customer_id HAVING COUNT(DISTINCT DATE_TRUNC('month', send_date)) = 12
+            ) USING (customer_id)
             WHERE nth <= (SELECT (COUNT(*) + 9) // 10 FROM loaded_customers)
         ),
-        steady AS (
-            SELECT customer_id FROM loaded_traffic
-            WHERE send_date >= DATE '2000-07-01' AND send_date < DATE '2001-07-01'
-            GROUP BY customer_id HAVING COUNT(DISTINCT DATE_TRUNC('month', send_date)) = 12
-        )
-        SELECT 'customers' AS table_name, COUNT(*) AS row_count FROM loaded_customers
-        UNION ALL SELECT 'channels', COUNT(*) FROM raw_channels
-        UNION ALL SELECT 'traffic', COUNT(*) FROM loaded_traffic
-        UNION ALL SELECT 'traffic_rejects', COUNT(*) FROM rejected
-        UNION ALL SELECT 'customers_revenue_by_period', COUNT(*) FROM totals
-        UNION ALL SELECT 'business_analytics/industry_exposure', COUNT(DISTINCT industry)
-            FROM loaded_customers
-        UNION ALL SELECT 'business_analytics/segment_analysis', COUNT(DISTINCT segment)
+        periods AS ({periods("loaded_traffic", AS_OF)}),
+        exposure AS (
+            SELECT industry, COUNT(*) AS members, COALESCE(SUM(total), 0) AS earned
+            FROM loaded_customers LEFT JOIN totals USING (customer_id) GROUP BY industry
+        ),
+        shares AS (
+            SELECT segment, COUNT(*) AS n,
+                ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM loaded_customers), 2) AS share
+            FROM loaded_customers GROUP BY segment
+        ),
+        found AS (
+            SELECT 'customers' AS table_name, COUNT(*) AS row_count, SUM(customer_id) AS ids,
+                SUM(LENGTH(customer_name) + LENGTH(segment) + LENGTH(industry)) AS amount
             FROM loaded_customers
-        UNION ALL SELECT 'business_analytics/recent_customers', 0
-        UNION ALL SELECT 'business_analytics/top_customers', LEAST(20, COUNT(*)) FROM totals
-        UNION ALL SELECT 'business_analytics/monthly_active_customers', COUNT(*)
-            FROM leaders JOIN steady USING (customer_id)
-        UNION ALL SELECT 'descriptive_statistics/column_statistics', 2
-        UNION ALL SELECT 'descriptive_statistics/industry_exposure_extended',
-            COUNT(DISTINCT industry) FROM loaded_customers""",
+            UNION ALL SELECT 'channels', COUNT(*), SUM(channel_id), SUM(channel_id) * 0.01
+            FROM raw_channels
+            UNION ALL SELECT 'traffic', COUNT(*), SUM(traffic_id), SUM(revenue_eur) FROM loaded_traffic
+            UNION ALL SELECT 'traffic_rejects', COUNT(*), SUM(seq), SUM(revenue_eur) FROM rejected
+            UNION ALL SELECT 'customers_revenue_by_period', COUNT(*), SUM(customer_id),
+                SUM(revenue_ytd + revenue_last_quarter + revenue_last_month) FROM periods
+            UNION ALL SELECT 'business_analytics/industry_exposure', COUNT(*), SUM(members),
+                SUM(earned) FROM exposure
+            UNION ALL SELECT 'business_analytics/segment_analysis', COUNT(*), SUM(n), SUM(share)
+            FROM shares
+            UNION ALL SELECT 'business_analytics/recent_customers', 0, 0, 0
+            UNION ALL SELECT 'business_analytics/top_customers', COUNT(*), SUM(customer_id), SUM(total)
+            FROM ranked WHERE nth <= 20
+            UNION ALL SELECT 'business_analytics/monthly_active_customers', COUNT(*),
+                COALESCE(SUM(customer_id), 0), COALESCE(SUM(total), 0) FROM steady
+            UNION ALL SELECT 'descriptive_statistics/column_statistics', 2, 2 * COUNT(*),
+                MAX(earned) + MIN(earned) + MAX(members) + MIN(members) FROM exposure
+            UNION ALL SELECT 'descriptive_statistics/industry_exposure_extended', COUNT(*),
+                SUM(members), SUM(earned) FROM exposure
+        )
+        SELECT table_name, row_count, CAST(ids AS BIGINT) AS ids, ROUND(CAST(amount AS DOUBLE), 2) AS amount
+        FROM found""",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,28 @@ AS_OF_EXACT = "2001-08-01"
 AS_OF_EVENTS = "2024-01-31"
 AS_OF_EARLIER = "2001-04-15"
 RUN_TIME = datetime(2001, 7, 15, 9, 0)
+EARLIER_TIME = datetime(2001, 4, 15, 9, 0)
 SEED = 42
 
+# What is summed of each table of the monthly run: ids or counts, and amounts.
+MONTHLY_SUMS = {
+    "customers": ("customer_id", "length(customer_name) + length(segment) + length(industry)"),
+    "channels": ("channel_id", "unit_price_eur"),
+    "traffic": ("traffic_id", "revenue_eur"),
+    "traffic_rejects": ("seq", "revenue_eur"),
+    "customers_revenue_by_period": (
+        "customer_id",
+        "revenue_ytd + revenue_last_quarter + revenue_last_month",
+    ),
+    "business_analytics/industry_exposure": ("customer_count", "total_revenue"),
+    "business_analytics/segment_analysis": ("client_count", "percentage_share"),
+    "business_analytics/recent_customers": ("customer_id", "customer_id"),
+    "business_analytics/top_customers": ("customer_id", "total_revenue"),
+    "business_analytics/monthly_active_customers": ("customer_id", "total_revenue"),
+    "descriptive_statistics/column_statistics": ("count_total", "max_value + min_value"),
+    "descriptive_statistics/industry_exposure_extended": ("customer_count", "total_revenue"),
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -66,8 +87,10 @@ def query(build: Query) -> Query:
 
 @query
 def csv_scan(spark, sf_dir):
+    """Columns in another order, and one more than asked for."""
     path = scratch(spark, "csv")
-    sinks.write_csv(star.traffic(spark, sf_dir), path)
+    traffic = star.traffic(spark, sf_dir).withColumn("note", F.lit("none"))
+    sinks.write_csv(traffic.select(*sorted(traffic.columns)), path)
     return files.read_csv(spark, path, model.TRAFFIC)
 
 
@@ -133,7 +156,7 @@ def synth_customers(spark, sf_dir):
 
 @query
 def synth_traffic(spark, sf_dir):
-    days = star.table(spark, sf_dir, "orders").select("o_orderdate").distinct()
+    days = star.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date")).distinct()
     n = star.table(spark, sf_dir, "customer").count()
     return synthetic.synth_traffic(days, "o_orderdate", n, SEED)
 
@@ -181,7 +204,10 @@ def replace_table(spark, sf_dir):
     sinks.replace_table(totals, path, RUN_TIME)
     written = sinks.replace_table(totals, path, RUN_TIME)
     return spark.read.parquet(path).select(
-        "customer_id", "total_revenue", F.lit(written).alias("rows_written")
+        "customer_id",
+        "total_revenue",
+        F.col("last_updated").cast("string").alias("last_updated"),
+        F.lit(written).alias("rows_written"),
     )
 
 
@@ -207,10 +233,11 @@ def upsert_period_metrics(spark, sf_dir):
     traffic = star.traffic(spark, sf_dir)
     path = scratch(spark, "periods")
     earlier = metrics.revenue_by_period(traffic, AS_OF_EARLIER)
-    sinks.upsert(path, earlier, ["customer_id"], RUN_TIME)
+    sinks.upsert(path, earlier, ["customer_id"], EARLIER_TIME)
     recent = dates.since(traffic, "send_date", AS_OF, 6)
     sinks.upsert(path, metrics.revenue_by_period(recent, AS_OF), ["customer_id"], RUN_TIME)
-    return spark.read.parquet(path).drop("last_updated")
+    updated = F.col("last_updated").cast("string")
+    return spark.read.parquet(path).withColumn("last_updated", updated)
 
 
 @query
@@ -260,9 +287,10 @@ def period_bounds(spark, sf_dir):
 
 @query
 def numeric_columns(spark, sf_dir):
-    lineitem = star.table(spark, sf_dir, "lineitem")
-    names = profile.numeric_columns(lineitem.schema)
-    return sinks.describe_table(lineitem.select(*names)).select(
+    """Numeric columns that are no ids."""
+    events = star.table(spark, sf_dir, "events")
+    names = profile.numeric_columns(events.schema)
+    return sinks.describe_table(events.select(*names)).select(
         "column_name", "data_type", "null_count"
     )
 
@@ -468,8 +496,12 @@ def q2_segment_share(spark, sf_dir):
 
 @query
 def q3_segment_changes(spark, sf_dir):
+    """By account, as customers of different segments share one."""
     return questions.segment_changes(
-        star.customers(spark, sf_dir), star.traffic(spark, sf_dir), AS_OF
+        star.raw_customers(spark, sf_dir),
+        star.raw_traffic(spark, sf_dir),
+        AS_OF,
+        entity="account_id",
     )
 
 
@@ -496,18 +528,21 @@ def q5_months_active(spark, sf_dir):
 
 @query
 def q5_always_active_top(spark, sf_dir):
-    activity = star.industry_activity(spark, sf_dir)
-    industries = star.customers(spark, sf_dir).select("industry").distinct()
-    return questions.always_active_top(
-        industries, activity, AS_OF_EXACT, mode="exact", entity="industry"
-    )
+    return _industries_always_active(spark, sf_dir, AS_OF_EXACT, "exact")
 
 
 @query
 def q5_whole_periods(spark, sf_dir):
-    activity = star.industry_activity(spark, sf_dir)
-    industries = star.customers(spark, sf_dir).select("industry").distinct()
-    return questions.always_active_top(industries, activity, AS_OF, entity="industry")
+    return _industries_always_active(spark, sf_dir, AS_OF, "whole_periods")
+
+
+def _industries_always_active(spark, sf_dir, as_of, mode):
+    """Industries, a few and densely active, by the traffic of their customers."""
+    customers = star.customers(spark, sf_dir).select("customer_id", "industry")
+    measured = questions.dimension_activity(
+        customers, star.traffic(spark, sf_dir), as_of, entity="industry", mode=mode
+    )
+    return questions.top_active(customers.select("industry").distinct(), measured, 0.1, "industry")
 
 
 @query
@@ -577,7 +612,8 @@ def load_star(spark, sf_dir):
 
 @query
 def monthly_run(spark, sf_dir):
-    """Raw files from the tables, then every step; the row count of each table written."""
+    """Raw files from the tables, then every step; of each table written the rows, the sum of
+    its ids or counts, and the sum of its amounts."""
     in_dir, out_dir = scratch(spark, "raw"), scratch(spark, "run")
     raw = {
         "customers": (star.raw_customers(spark, sf_dir), model.CUSTOMERS),
@@ -586,4 +622,13 @@ def monthly_run(spark, sf_dir):
     }
     for name, (df, schema) in raw.items():
         sinks.write_csv(df.select(*schema.names), f"{in_dir}/{name}.csv")
-    return monthly.monthly_run(spark, in_dir, out_dir, RUN_TIME, fill_defaults=True)
+    counts = monthly.monthly_run(spark, in_dir, out_dir, RUN_TIME, fill_defaults=True)
+    sums = [
+        monthly.read(spark, out_dir, name).agg(
+            F.lit(name).alias("table_name"),
+            F.coalesce(F.sum(F.expr(ids)), F.lit(0)).cast("bigint").alias("ids"),
+            F.round(F.coalesce(F.sum(F.expr(amount)), F.lit(0)).cast("double"), 2).alias("amount"),
+        )
+        for name, (ids, amount) in MONTHLY_SUMS.items()
+    ]
+    return counts.join(reduce(DataFrame.unionAll, sums), "table_name")

@@ -22,8 +22,10 @@ def _table(*fields: tuple) -> StructType:
 
 
 MONEY = DecimalType(12, 2)
-TOTAL = DecimalType(15, 2)
-STATISTIC = DecimalType(20, 4)
+# Sums and statistics are wider than a row store's columns, as their size follows the data;
+# FIT_LIMITS has the row store's ranges, for a report of what exceeds them.
+TOTAL = DecimalType(22, 2)
+STATISTIC = DecimalType(38, 4)
 
 CUSTOMERS = _table(
     ("customer_id", LongType()),
@@ -51,10 +53,10 @@ TRAFFIC = _table(
 )
 REVENUE_BY_PERIOD = _table(
     ("customer_id", LongType()),
-    ("revenue_last_month", MONEY),
-    ("revenue_last_quarter", MONEY),
-    ("revenue_mtd", MONEY),
-    ("revenue_ytd", MONEY),
+    ("revenue_last_month", TOTAL),
+    ("revenue_last_quarter", TOTAL),
+    ("revenue_mtd", TOTAL),
+    ("revenue_ytd", TOTAL),
     # Wider than the 5 digits of the row store: growth of 1000 % and more occurs, and a
     # base of one cent must not end the run.
     ("revenue_increase_pct_qoq", DecimalType(18, 2), True),
@@ -107,7 +109,15 @@ FIT_LIMITS = {
     "customers": {"customer_name": 255, "segment": 100, "industry": 100, "country": 100},
     "channels": {"channel_name": 100, "channel_type": 50, "unit_price_eur": DecimalType(10, 4)},
     "traffic": {"revenue_eur": DecimalType(12, 2)},
-    "revenue_by_period": {"revenue_increase_pct_qoq": DecimalType(5, 2)},
+    "revenue_by_period": {
+        "revenue_last_month": DecimalType(12, 2),
+        "revenue_last_quarter": DecimalType(12, 2),
+        "revenue_mtd": DecimalType(12, 2),
+        "revenue_ytd": DecimalType(12, 2),
+        "revenue_increase_pct_qoq": DecimalType(5, 2),
+    },
+    "industry_exposure": {"total_revenue": DecimalType(15, 2)},
+    "customer_totals": {"total_revenue": DecimalType(15, 2)},
 }
 # Column defaults (created_date defaults to the run date).
 TRAFFIC_DEFAULTS = {"interactions_count": 0, "revenue_eur": 0}

@@ -15,7 +15,8 @@ from ..functions import dates
 def money_sum(df: DataFrame, measure: str, inside: Column | None = None) -> Column:
     """The exact sum of a measure, optionally of the rows ``inside``. Amounts of at most 16
     digits are added as whole cents: a 64-bit sum needs no decimal arithmetic per row, and
-    holds more than any result column. An overflow raises, so it is done in ANSI mode only."""
+    holds totals up to 9.2e16. Beyond that it raises, so it is done in ANSI mode only; wider
+    amounts, and sessions without ANSI mode, are added as decimals, up to 38 digits."""
     kind, amount = df.schema[measure].dataType, F.col(measure)
     cents = (
         isinstance(kind, DecimalType)

@@ -50,7 +50,7 @@ def lookup(
     on: str,
     how: str = "inner",
     spread_by: list[str] | None = None,
-    max_broadcast: int = BROADCAST_BYTES,
+    max_broadcast: int | None = BROADCAST_BYTES,
     task_rows: int | None = TASK_ROWS,
 ) -> DataFrame:
     """Joins every fact row to its dimension row: ``how`` is inner, left, left_semi or left_anti.
@@ -58,18 +58,26 @@ def lookup(
     ``dim`` has one row per ``on``. Rows of a hot key are told apart by a salt from their own
     values (``spread_by``, by default the whole row), so a retried task computes the same
     salt again; only the dimension rows of hot keys are repeated. ``task_rows=None`` states
-    that no key is hot and saves the count.
+    that no key is hot and saves the count; ``max_broadcast=None`` leaves the choice to Spark,
+    which knows the size of a written table without a job.
     """
-    if fits(dim, max_broadcast):
+    if max_broadcast is not None and fits(dim, max_broadcast):
         return _in_order(facts.join(F.broadcast(dim), on, how), facts, how)
     hot = hot_keys(facts, on, task_rows) if task_rows else None
-    if hot is None:
-        return _in_order(facts.join(dim, on, how), facts, how)
     row = F.xxhash64(*(spread_by or facts.columns))
-    salts = F.coalesce("_salts", F.lit(1))
     # A row without a key matches nothing and may go anywhere.
-    width = F.when(F.col(on).isNull(), F.lit(TASK_ROWS)).otherwise(salts)
-    salted = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.pmod(row, width))
+    anywhere = F.when(F.col(on).isNull(), F.pmod(row, F.lit(TASK_ROWS)))
+    if hot is None:
+        # Always 0, but no constant: the optimizer would take a constant out of the join's
+        # key, and with it the salt.
+        zero = F.pmod(F.xxhash64(on), F.lit(1))
+        spread = facts.withColumn("_salt", F.coalesce(anywhere, zero))
+        joined = spread.join(dim.withColumn("_salt", zero), [on, "_salt"], how)
+        return _in_order(joined.drop("_salt"), facts, how)
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = facts.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.coalesce(anywhere, F.pmod(row, salts))
+    )
     repeated = dim.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     )
@@ -80,7 +88,8 @@ def lookup(
 def hot_keys(facts: DataFrame, on: str, task_rows: int = TASK_ROWS) -> DataFrame | None:
     """Keys with more rows than one task takes, and over how many tasks to spread them;
     None without such keys. At most HOT_KEYS keys, as each holds more than that share of
-    all hot rows. The facts' key column is read once."""
+    all hot rows: a task takes at most ``task_rows`` rows of one key, or the hot rows divided
+    by HOT_KEYS where those are more. The facts' key column is read once."""
     counts = facts.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
     hot = cut_lineage(counts.where(F.col("_rows") > task_rows))
     keys, rows = hot.agg(F.count("*"), F.sum("_rows")).first()
@@ -116,15 +125,18 @@ def with_facts(
 ) -> DataFrame:
     """Dimension rows with their facts; ``how="left"`` keeps dimension rows without any.
 
-    The left form is the inner rows plus the unmatched dimension rows: the facts stay
-    the streamed side of the join, and unmatched keys are found on distinct keys.
+    Against a large dimension and without a hot key this is a plain join. Otherwise the left
+    form is the inner rows plus the unmatched dimension rows: the facts stay the streamed
+    side of the join, and unmatched keys are found on distinct keys.
     """
     columns = dim.columns + [c for c in facts.columns if c != key]
+    if how not in ("left", "inner"):
+        raise ValueError("how is 'left' or 'inner'")
+    if how == "left" and not fits(dim, max_broadcast) and hot_keys(facts, key) is None:
+        return dim.join(facts, key, "left").select(columns)
     matched = lookup(facts, dim, key, max_broadcast=max_broadcast).select(columns)
     if how == "inner":
         return matched
-    if how != "left":
-        raise ValueError("how is 'left' or 'inner'")
     bare = dim.join(facts.select(key).distinct(), key, "left_anti")
     return matched.unionByName(bare, allowMissingColumns=True)
 
@@ -134,14 +146,20 @@ def resolve_keys(
     customers: DataFrame,
     channels: DataFrame,
     spread_by: list[str] | None = None,
-    max_broadcast: int = BROADCAST_BYTES,
+    max_broadcast: int | None = BROADCAST_BYTES,
     task_rows: int | None = TASK_ROWS,
 ) -> DataFrame:
     """Facts with ``customer_id`` looked up by ``account_id``; a fact whose account or
     channel is unknown is left out. Channels are few, so they filter first."""
     ours = facts.drop("customer_id")
     known = lookup(
-        ours, channels.select("channel_id"), "channel_id", "left_semi", spread_by, max_broadcast
+        ours,
+        channels.select("channel_id"),
+        "channel_id",
+        "left_semi",
+        spread_by,
+        max_broadcast,
+        task_rows,
     )
     accounts = customers.select("account_id", "customer_id")
     return lookup(known, accounts, "account_id", "inner", spread_by, max_broadcast, task_rows)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, NumericType, StructType
 
-from .quantiles import exact_percentiles, percentile_sketches
+from .quantiles import exact_percentiles, quoted
 
 
 def is_id(name: str) -> bool:
@@ -32,7 +32,8 @@ ROW = """column_name string, min_value double, max_value double, mean_value doub
     median_value double, std_deviation double, count_non_null bigint, count_total bigint"""
 
 
-def _statistics(column: str) -> dict[str, Column]:
+def _statistics(name: str) -> dict[str, Column]:
+    column = F.col(quoted(name))
     return {
         "min_value": F.min(column).cast("double"),
         "max_value": F.max(column).cast("double"),
@@ -46,14 +47,16 @@ def _statistics(column: str) -> dict[str, Column]:
 def profile(df: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
     """One row per column: min, max, mean, median, sample deviation and counts, all
     columns in one pass over the data. The median is the sketch's. With ``exact`` it is
-    the discrete one; the same pass then starts the search and two short ones end it."""
+    the discrete one; the same pass then starts the search. Without columns there are no
+    rows. NaN is a value above all numbers, so it can be the maximum and makes mean and
+    deviation NaN."""
     if not columns:
-        raise ValueError("no numeric columns")
+        return df.sparkSession.createDataFrame([], ROW)
     stats = {c: _statistics(c) for c in columns}
     if exact:
         return _exact_profile(df, stats)
     for c in columns:
-        stats[c]["median_value"] = F.percentile_approx(c, 0.5).cast("double")
+        stats[c]["median_value"] = F.percentile_approx(F.col(quoted(c)), 0.5).cast("double")
     wide = df.agg(*[F.struct(*_named(stats[c])).alias(f"c{i}") for i, c in enumerate(columns)])
     rows = [
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"c{i}.{n}").alias(n) for n in _NAMES])
@@ -70,16 +73,17 @@ def _named(stats: dict[str, Column]) -> list[Column]:
 
 
 def _exact_profile(df: DataFrame, stats: dict[str, dict[str, Column]]) -> DataFrame:
-    medians = {c: [0.5] for c in stats}
-    found = df.agg(
-        *[F.struct(*_named(columns)).alias(f"stats_{c}") for c, columns in stats.items()],
-        *percentile_sketches(df, medians),
-    ).first()
-    exact = exact_percentiles(df, medians, found.asDict())
+    """The statistics are made in the second of the two passes that the medians take."""
+    also = [
+        value.alias(f"x{i}_{name}")
+        for i, columns in enumerate(stats.values())
+        for name, value in columns.items()
+    ]
+    medians, found = exact_percentiles(df, {c: [0.5] for c in stats}, also=also)
     rows = []
-    for c in stats:
-        row = found[f"stats_{c}"].asDict()
-        median = exact[c][0]
+    for i, (c, columns) in enumerate(stats.items()):
+        row = {name: found[f"x{i}_{name}"] for name in columns}
+        median = medians[c][0]
         row |= {"column_name": c, "median_value": None if median is None else float(median)}
         rows.append(tuple(row[name] for name in ["column_name", *_NAMES]))
     return df.sparkSession.createDataFrame(rows, ROW)

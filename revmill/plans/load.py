@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import model
-from ..operators import contracts, joins, keys
+from ..operators import contracts, joins
+from ..session import cut_lineage
 
 
 class Star(NamedTuple):
     customers: DataFrame
     channels: DataFrame
     traffic: DataFrame
-    rejects: DataFrame
+    raw_traffic: DataFrame
+
+    @property
+    def rejects(self) -> DataFrame:
+        """Found when asked for, as it reads the raw traffic once more."""
+        return joins.rejects(self.raw_traffic, self.customers, self.channels, ["seq"])
 
 
 def load_customers(raw: DataFrame) -> DataFrame:
@@ -30,20 +36,26 @@ def load_channels(raw: DataFrame) -> DataFrame:
 
 
 def _first_id_last_values(raw: DataFrame, natural: str, surrogate: str, schema) -> DataFrame:
+    """First and last positions are found by hash, and only the last rows carry their text
+    through a join. ``seq`` is unique."""
     rest = [f.name for f in schema if f.name not in (natural, surrogate)]
-    grouped = raw.groupBy(natural).agg(
-        F.min("seq").alias(surrogate), F.max_by(F.struct(*rest), F.col("seq")).alias("_latest")
+    ends = raw.groupBy(F.col(natural).alias("_natural")).agg(
+        F.min("seq").alias("_first"), F.max("seq").alias("_last")
+    )
+    latest = raw.drop(surrogate).join(
+        ends, (F.col("seq") == F.col("_last")) & F.col(natural).eqNullSafe(F.col("_natural"))
     )
-    return model.conform(grouped.select(natural, surrogate, "_latest.*"), schema)
+    return model.conform(latest.select(natural, F.col("_first").alias(surrogate), *rest), schema)
 
 
 def load_traffic(
     raw: DataFrame,
     customers: DataFrame,
     channels: DataFrame,
-    max_broadcast: int = joins.BROADCAST_BYTES,
+    max_broadcast: int | None = joins.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Accepted traffic, one row per date, account, customer and channel, last row wins.
+    """Accepted traffic, one row per date, account, customer and channel: the id of its first
+    row, the measures of its last.
 
     An account has one customer, so rows with the same date, account and channel are the
     same key after resolution: they are reduced first. What is then joined holds at most
@@ -53,7 +65,9 @@ def load_traffic(
         "seq", "send_date", "account_id", "channel_id", "interactions_count", "revenue_eur"
     )
     natural = ["send_date", "account_id", "channel_id"]
-    latest = keys.last_wins(wanted, natural).withColumnRenamed("seq", "traffic_id")
+    # The row that is updated keeps the id it was inserted with, that of its first row.
+    rest = [F.max_by(c, "seq").alias(c) for c in ("interactions_count", "revenue_eur")]
+    latest = wanted.groupBy(*natural).agg(*rest, F.min("seq").alias("traffic_id"))
     resolved = joins.resolve_keys(
         latest, customers, channels, max_broadcast=max_broadcast, task_rows=None
     )
@@ -62,14 +76,11 @@ def load_traffic(
 
 def load_star(raw_customers: DataFrame, raw_channels: DataFrame, raw_traffic: DataFrame) -> Star:
     """The star of one batch. Raw frames carry ``seq``, their row order."""
-    customers = load_customers(raw_customers)
-    channels = load_channels(raw_channels)
-    return Star(
-        customers,
-        channels,
-        load_traffic(raw_traffic, customers, channels),
-        joins.rejects(raw_traffic, customers, channels, ["seq"]),
-    )
+    # Made once; Spark then knows their size.
+    customers = cut_lineage(load_customers(raw_customers))
+    channels = cut_lineage(load_channels(raw_channels))
+    traffic = load_traffic(raw_traffic, customers, channels, max_broadcast=None)
+    return Star(customers, channels, traffic, raw_traffic)
 
 
 def check_table(name: str, df: DataFrame, schema) -> None:

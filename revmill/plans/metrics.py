@@ -32,7 +32,7 @@ def revenue_by_period(
     inside = dates.period_conditions(F.col("send_date"), as_of, boundary, until)
     del inside["prev_quarter"]
     sums = aggregates.period_sums(traffic, key, "revenue_eur", inside)
-    rounded = {c: F.round(F.col(c), 2).cast("decimal(18,2)") for c in sums.columns if c != key}
+    rounded = {c: F.round(F.col(c), 2).cast("decimal(22,2)") for c in sums.columns if c != key}
     growth = numbers.pct_change(F.col("revenue_current_quarter"), F.col("revenue_last_quarter"))
     return (
         sums.withColumns(rounded)

@@ -60,9 +60,10 @@ def _raise_unreadable(name: str, lines: int) -> None:
 
 
 def _readable(name: str, raw: DataFrame) -> DataFrame:
-    """The rows of a small file, after a look at all of its lines."""
-    _raise_unreadable(name, raw.agg(F.count(files.BAD_ROW), F.count("seq")).first()[0])
-    return raw.drop(files.BAD_ROW)
+    """The rows of a file, parsed once and whole, so that a bad value of any column shows."""
+    parsed = cut_lineage(raw)
+    _raise_unreadable(name, parsed.where(F.col(files.BAD_ROW).isNotNull()).count())
+    return parsed.drop(files.BAD_ROW)
 
 
 def _by_month(traffic: DataFrame) -> DataFrame:

@@ -47,20 +47,21 @@ def segment_changes(
     as_of: dates.When,
     months: int = 12,
     month_partition: str | None = None,
+    entity: str = "customer_id",
 ) -> DataFrame:
-    """Customers with two or more segments in the dimension and traffic since the cutoff.
+    """Customers (or another ``entity``) with two or more segments in the dimension and traffic since the cutoff.
 
     The dimension is asked first: its key allows one segment each, so normally nothing
     is left to look for, and the traffic is not read."""
     changed = (
-        customers.groupBy("customer_id")
+        customers.groupBy(entity)
         .agg(F.count_distinct("segment").alias("segments"))
         .where("segments >= 2")
-        .select("customer_id")
+        .select(entity)
     )
     late = dates.since(traffic, "send_date", as_of, months, month_partition=month_partition)
-    recent = late.select("customer_id").distinct()
-    return joins.lookup(recent, changed, "customer_id", "left_semi", task_rows=None)
+    recent = late.select(entity).distinct()
+    return joins.lookup(recent, changed, entity, "left_semi", task_rows=None)
 
 
 def segment_changes_history(
@@ -134,6 +135,43 @@ def entity_activity(
     )
 
 
+def dimension_activity(
+    customers: DataFrame,
+    traffic: DataFrame,
+    as_of: dates.When,
+    entity: str,
+    n: int = 12,
+    grain: str = "month",
+    mode: str = "whole_periods",
+    key: str = "customer_id",
+) -> DataFrame:
+    """The same for an attribute of the customers. Traffic is reduced to one row per customer
+    before it meets the dimension: its total and a bit per period; where bits can't hold the
+    periods, to one row per customer and period."""
+    date_col, owners = F.col("send_date"), customers.select(key, entity)
+    total = aggregates.money_sum(traffic, "revenue_eur").alias("revenue")
+    if mode == "whole_periods" and n <= MASK_BITS:
+        bits = F.bit_or(_period_bit(as_of, n, grain)).alias("periods")
+        reduced = traffic.groupBy(key).agg(total, bits)
+        active = F.coalesce(F.bit_count(F.bit_or("periods")) == n, F.lit(False))
+    else:
+        if mode == "exact":
+            if grain != "month":
+                raise ValueError("the exact mode counts months")
+            period = F.when(date_col >= dates.months_before(as_of, n), F.trunc(date_col, "MM"))
+        elif mode == "whole_periods":
+            start, end = _whole_periods(as_of, n, grain)
+            inside = (date_col >= start) & (date_col < end)
+            period = F.when(inside, dates.truncate(date_col, grain))
+        else:
+            raise ValueError("mode is 'whole_periods' or 'exact'")
+        reduced = traffic.groupBy(key, period.alias("period")).agg(total)
+        active = F.count_distinct("period") == n
+    # At most one row per customer and period, so no customer is heavy.
+    known = joins.lookup(reduced, owners, key, task_rows=None)
+    return known.groupBy(entity).agg(F.sum("revenue").alias("total_revenue"), active.alias("active"))
+
+
 def top_active(
     customers: DataFrame, measured: DataFrame, fraction: float = 0.1, entity: str = "customer_id"
 ) -> DataFrame:
@@ -148,11 +186,23 @@ def _active_in_all(as_of: dates.When, n: int, grain: str):
     """Aggregate: a row in each of the ``n`` whole periods before ``as_of``. One bit per
     period combines before the shuffle; longer windows count distinct periods."""
     date_col = F.col("send_date")
-    end = dates.truncate(dates.day(as_of), grain)
-    start = dates.back(end, grain, n)
-    inside = (date_col >= start) & (date_col < end)
     if n > MASK_BITS:
+        start, end = _whole_periods(as_of, n, grain)
+        inside = (date_col >= start) & (date_col < end)
         return F.count_distinct(F.when(inside, dates.truncate(date_col, grain))) == n
+    return F.coalesce(F.bit_count(F.bit_or(_period_bit(as_of, n, grain))) == n, F.lit(False))
+
+
+def _whole_periods(as_of: dates.When, n: int, grain: str):
+    """First day of the ``n`` whole periods before ``as_of``, and the day after them."""
+    end = dates.truncate(dates.day(as_of), grain)
+    return dates.back(end, grain, n), end
+
+
+def _period_bit(as_of: dates.When, n: int, grain: str):
+    """A row's period among the ``n`` whole ones before ``as_of``, as one bit."""
+    date_col = F.col("send_date")
+    start, end = _whole_periods(as_of, n, grain)
     nth = dates.periods_between(start, date_col, grain)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), nth)
-    return F.coalesce(F.bit_count(F.bit_or(F.when(inside, bit))) == n, F.lit(False))
+    return F.when((date_col >= start) & (date_col < end), bit)

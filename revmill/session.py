@@ -8,13 +8,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Input bytes per shuffle partition, and the most partitions asked for. Shuffles here carry
-# a few columns, partly aggregated, so a partition holds well under this.
+# Input bytes per shuffle partition. Shuffles here carry a few columns, partly aggregated, so
+# a partition holds well under this.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 
 _local_base: str | None = None
-_sizes: dict[str, int] = {}
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,19 +36,22 @@ def size_shuffles(spark: SparkSession, path: str) -> int:
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if spark.conf.get("spark.sql.adaptive.enabled") != "true":
         return current
-    wanted = min(MAX_PARTITIONS, _stored_bytes(spark, path) // PARTITION_BYTES)
+    wanted = _stored_bytes(spark, path) // PARTITION_BYTES
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return max(current, wanted)
 
 
 def _stored_bytes(spark: SparkSession, path: str) -> int:
-    """The size of a folder, listed once, as a listing of very many files takes time."""
-    if path not in _sizes:
-        location = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
-        _sizes[path] = fs.getContentSummary(location).getLength()
-    return _sizes[path]
+    """The size of a folder as it is now."""
+    fs, location = file_system(spark, path)
+    return fs.getContentSummary(location).getLength()
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path in its terms."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -71,8 +72,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; nothing is ever written twice to it."""
-    return f"{shared_folder(spark).rstrip('/')}/revmill/{label}-{uuid.uuid4().hex[:12]}"
+    """A new path in the shared folder; nothing is ever written twice to it. What lies there
+    is deleted when the application ends, as a result may be read until then."""
+    path = f"{shared_folder(spark).rstrip('/')}/revmill/{label}-{uuid.uuid4().hex[:12]}"
+    fs, location = file_system(spark, path)
+    fs.deleteOnExit(location)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -81,3 +86,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Deletes what ``cut_lineage`` wrote, once nothing reads it any more."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if "/revmill/step-" in folder:
+            fs, location = file_system(df.sparkSession, folder)
+            fs.delete(location, True)

@@ -15,15 +15,28 @@ BAD_ROW = "_bad_row"
 def read_csv(
     spark: SparkSession, path: str, schema: StructType, keep_bad_rows: bool = False
 ) -> DataFrame:
-    """CSV with a header, typed by ``schema`` without a pass for inference. A value that
-    does not parse becomes NULL; with ``keep_bad_rows`` its whole line is kept in BAD_ROW."""
+    """CSV with a header, whose names say which column is which; types are those of
+    ``schema``, without a pass for inference. Columns that ``schema`` lacks are left out, a
+    missing one raises, and so does a file of the folder with another header.
+
+    A value that does not parse becomes NULL; with ``keep_bad_rows`` its whole line is kept in
+    BAD_ROW. Only the columns that a query needs are parsed, so whoever looks for bad rows
+    has to read them all."""
+    header = spark.read.option("header", True).csv(path).columns
+    named = {name.strip().lower(): name for name in header}
+    missing = [f.name for f in schema if f.name.lower() not in named]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    types = {f.name.lower(): f.dataType for f in schema}
     # A file promises nothing, so every column may be empty.
-    fields = [StructField(f.name, f.dataType, True) for f in schema]
+    fields = [StructField(h, types.get(h.strip().lower(), StringType()), True) for h in header]
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if keep_bad_rows:
         fields.append(StructField(BAD_ROW, StringType(), True))
         reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
-    return reader.schema(StructType(fields)).csv(path)
+    rows = reader.schema(StructType(fields)).option("enforceSchema", False).csv(path)
+    wanted = [F.col(f"`{named[f.name.lower()]}`").alias(f.name) for f in schema]
+    return rows.select(*wanted, *([BAD_ROW] if keep_bad_rows else []))
 
 
 def typed(df: DataFrame, schema: StructType) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import file_system
 from .files import JdbcTable
 
 
@@ -33,17 +35,27 @@ def write_partitioned(df: DataFrame, path: str, by: str, order: str | None = Non
     gathered.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
 
 
+JOURNAL = "__commit_"
+
+
 class Publication:
     """Tables written aside and put in place together. ``stage`` writes a table and
-    returns it read back, so later steps neither recompute it nor see half of it."""
+    returns it read back, so later steps neither recompute it nor see half of it.
+
+    A commit first writes down what it is about to move, then moves. If the process ends
+    in between, the next publication beside any of the tables finishes those moves, so that
+    all tables are new and no old row is lost. There is one publication at a time for a set
+    of tables; a reader that looks between two moves may see tables of both states."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._schemas: dict[str, StructType] = {}
         self._staged: dict[str, str] = {}
         self._run = uuid.uuid4().hex[:12]
+        self._recovered: set[str] = set()
 
     def stage(self, path: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        self._recover(path)
         aside = f"{path.rstrip('/')}__staged_{self._run}"
         self._staged[path], self._schemas[path] = aside, df.schema
         writer = df.write
@@ -59,47 +71,109 @@ class Publication:
 
     def stage_all(self, tables: dict[str, DataFrame]) -> None:
         """Stages tables that do not depend on each other, as concurrent jobs."""
+        for path in tables:
+            self._recover(path)
         with ThreadPoolExecutor(max_workers=4) as pool:
             for done in [pool.submit(self.stage, path, df) for path, df in tables.items()]:
                 done.result()
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        location = jvm.org.apache.hadoop.fs.Path(path)
-        return location.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), location
-
     def _move(self, source: str, target: str) -> None:
-        fs, location = self._fs(source)
-        if not fs.rename(location, self._fs(target)[1]):
+        fs, location = file_system(self.spark, source)
+        if not fs.rename(location, file_system(self.spark, target)[1]):
             raise OSError(f"cannot move {source} to {target}")
 
-    def exists(self, path: str) -> bool:
-        fs, location = self._fs(path)
+    def _there(self, path: str) -> bool:
+        fs, location = file_system(self.spark, path)
         return fs.exists(location)
 
+    def exists(self, path: str) -> bool:
+        self._recover(path)
+        return self._there(path)
+
     def _remove(self, path: str) -> None:
-        fs, location = self._fs(path)
+        fs, location = file_system(self.spark, path)
         fs.delete(location, True)
 
+    def _write_text(self, path: str, text: str) -> None:
+        """Under another name first: a file of that name is whole."""
+        fs, part = file_system(self.spark, f"{path}.part")
+        out = fs.create(part, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        self._move(f"{path}.part", path)
+
+    def _journals(self, plan: dict[str, list[str]]) -> list[str]:
+        """One in each folder that holds a table of the plan. The last one written, that of
+        the first table, is the decision: without it the others mean nothing."""
+        folders = list(dict.fromkeys(path.rstrip("/").rpartition("/")[0] for path in plan))
+        return [f"{folder}/{JOURNAL}{self._run}" for folder in folders]
+
     def commit(self) -> None:
-        """Puts every staged table in place, or puts back what was there."""
-        replaced, placed = {}, []
+        """Puts every staged table in place. A move that fails puts back what was there."""
+        if not self._staged:
+            return
+        plan = {
+            path: [aside, f"{path.rstrip('/')}__replaced_{self._run}"]
+            for path, aside in self._staged.items()
+        }
+        journals = self._journals(plan)
+        text = json.dumps({"decision": journals[0], "journals": journals, "plan": plan})
+        for journal in reversed(journals):
+            self._write_text(journal, text)
         try:
-            for path, aside in self._staged.items():
-                if self.exists(path):
-                    replaced[path] = f"{path.rstrip('/')}__replaced_{self._run}"
-                    self._move(path, replaced[path])
-                self._move(aside, path)
-                placed.append(path)
+            self._finish(plan)
         except Exception:
-            for path in placed:
-                self._move(path, self._staged[path])
-            for path, old in replaced.items():
-                if self.exists(old):
-                    self._move(old, path)
+            self._undo(plan)
+            for journal in journals:
+                self._remove(journal)
             raise
-        for old in replaced.values():
+        self._clear(journals, plan)
+
+    def _finish(self, plan: dict[str, list[str]]) -> None:
+        """Every move that has not been made. Can be repeated after any of them."""
+        for path, (aside, old) in plan.items():
+            if not self._there(aside):
+                continue
+            if self._there(path):
+                self._move(path, old)
+            self._move(aside, path)
+
+    def _undo(self, plan: dict[str, list[str]]) -> None:
+        for path, (aside, old) in plan.items():
+            if not self._there(aside):
+                self._move(path, aside)
+            if self._there(old):
+                self._move(old, path)
+
+    def _clear(self, journals: list[str], plan: dict[str, list[str]]) -> None:
+        """The decision goes last, so that an interrupted clearing is repeated."""
+        for _, old in plan.values():
             self._remove(old)
+        for journal in reversed(journals):
+            self._remove(journal)
+
+    def _recover(self, path: str) -> None:
+        """Finishes commits that were interrupted beside this table."""
+        folder = path.rstrip("/").rpartition("/")[0]
+        if folder in self._recovered:
+            return
+        self._recovered.add(folder)
+        fs, pattern = file_system(self.spark, f"{folder}/{JOURNAL}*")
+        for status in fs.globStatus(pattern) or []:
+            journal = status.getPath().toString()
+            if journal.endswith(".part"):
+                self._remove(journal)
+                continue
+            stream = fs.open(status.getPath())
+            size = status.getLen()
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            found = json.loads(text) if size else {}
+            if not found or not self._there(found["decision"]):
+                self._remove(journal)
+                continue
+            self._finish(found["plan"])
+            self._clear(found["journals"], found["plan"])
 
     def rollback(self) -> None:
         for aside in self._staged.values():
@@ -112,6 +186,10 @@ def publication(spark: SparkSession) -> Iterator[Publication]:
     tables = Publication(spark)
     try:
         yield tables
+    except BaseException:
+        tables.rollback()
+        raise
+    try:
         tables.commit()
     except Exception:
         tables.rollback()
@@ -130,7 +208,9 @@ def replace_table(df: DataFrame, path: str, as_of: datetime) -> int:
 
 
 def replace_database_table(df: DataFrame, table: JdbcTable, as_of: datetime) -> None:
-    """The same in a database: the table stays, with its definition, and gets new rows."""
+    """The same in a database: the table stays, with its definition, and gets new rows. Not
+    all or nothing: it is emptied first and then filled by parallel connections, so a run that
+    breaks off has to be repeated."""
     writer = stamped(df, as_of).write.format("jdbc").options(**table.options())
     writer.mode("overwrite").option("truncate", True).save()
 

@@ -7,25 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import joins
 from ..operators.series import SERIES_KEY
+from ..session import file_system
 
-# Fixed values of the raw loader input: accounts shared by customers, accounts drawn by
-# traffic (more than exist, so some are unknown) and the channels known to the loader.
-RAW_ACCOUNTS = 700
-RAW_TRAFFIC_ACCOUNTS = 800
+# Fixed values of the raw loader input: customers that share an account, one in how many
+# customers sends under an account that is unknown, and the channels known to the loader.
+RAW_SHARED = 2
+RAW_UNKNOWN = 8
 RAW_CHANNELS = 4
 
 
-_schemas: dict[str, StructType] = {}
+_schemas: dict[tuple[str, int], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stored table; its schema is looked up in the files once."""
+    """A stored table; its schema is looked up in the files once for each state of them."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    fs, location = file_system(spark, path)
+    state = path, fs.getFileStatus(location).getModificationTime()
+    if state not in _schemas:
+        _schemas[state] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[state]).parquet(path)
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +105,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).select(
         F.col("customer_id").alias("seq"),
         "customer_id",
-        (F.col("customer_id") % RAW_ACCOUNTS).alias("account_id"),
+        _raw_account().alias("account_id"),
         "customer_name",
         "segment",
         "industry",
@@ -112,12 +114,18 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _raw_account():
+    return F.floor(F.col("customer_id") / RAW_SHARED).cast("bigint")
+
+
 def raw_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic(spark, sf_dir).select(
         F.col("traffic_id").alias("seq"),
         "traffic_id",
         "send_date",
-        (F.col("customer_id") % RAW_TRAFFIC_ACCOUNTS).alias("account_id"),
+        F.when(F.col("customer_id") % RAW_UNKNOWN == 0, -F.col("customer_id"))
+        .otherwise(_raw_account())
+        .alias("account_id"),
         "customer_id",
         "channel_id",
         "interactions_count",
@@ -141,15 +149,6 @@ def channel_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def industry_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Traffic under the industry of its customer: a few, densely active entities."""
-    sent = traffic(spark, sf_dir).select("traffic_id", "customer_id", "send_date", "revenue_eur")
-    owners = customers(spark, sf_dir).select("customer_id", "industry")
-    return joins.lookup(sent, owners, "customer_id", spread_by=["traffic_id"]).select(
-        "industry", "send_date", "revenue_eur"
-    )
-
-
 def user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("customer_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import rows
 from revmill.operators import joins
@@ -101,3 +102,20 @@ def test_measured_bytes_grow_with_rows_and_text(spark):
     assert 150 * 40 < joins.measured_bytes(small) < joins.measured_bytes(large)
     assert joins.measured_bytes(small.where("false")) == 0
     assert joins.fits(small) and not joins.fits(small, 100)
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti", "inner", "left_semi"])
+def test_rows_without_a_key_are_spread(spark, how):
+    facts = spark.range(20_000).selectExpr("CASE WHEN id % 10 = 0 THEN id END AS k", "id AS v")
+    dim = spark.range(0, 20_000, 20).selectExpr("id AS k", "id AS name")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = joins.lookup(facts, dim, "k", how, spread_by=["v"], max_broadcast=0)
+        assert rows(got) == rows(facts.join(dim, "k", how))
+        if how.startswith("left_a") or how == "left":
+            sizes = [r[1] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) < 2 * sum(sizes) / len(sizes) and len(sizes) == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -94,8 +94,10 @@ def test_reducing_before_resolving_equals_resolving_before(spark):
     who = spark.range(30).selectExpr("id AS account_id", "id + 1000 AS customer_id")
     channels = spark.createDataFrame([(i,) for i in range(5)], "channel_id int")
     natural = ["send_date", "account_id", "customer_id", "channel_id"]
-    late = keys.last_wins(joins.resolve_keys(raw, who, channels), natural)
-    want = rows(late.select("seq", *natural, "revenue_eur"))
+    resolved = joins.resolve_keys(raw, who, channels)
+    first = resolved.groupBy(*natural).agg(F.min("seq").alias("first_id"))
+    late = keys.last_wins(resolved, natural).join(first, natural)
+    want = rows(late.select(F.col("first_id").alias("seq"), *natural, "revenue_eur"))
     for bound in (joins.BROADCAST_BYTES, 0):
         got = load.load_traffic(raw, who, channels, max_broadcast=bound)
         got = got.select(F.col("traffic_id").alias("seq"), *natural, "revenue_eur")
@@ -306,3 +308,94 @@ def test_a_month_without_traffic(spark, tmp_path):
     assert got["business_analytics/industry_exposure"] == 2
     with pytest.raises(metrics.StaleError):
         monthly.monthly_run(spark, raw, out, RUN, require_fresh=True)
+
+
+class Stopped(BaseException):
+    """The process ends: nothing is put back."""
+
+
+@pytest.mark.parametrize("stop", range(1, 10))
+def test_an_interrupted_commit_is_finished_at_the_next_start(spark, tmp_path, monkeypatch, stop):
+    a, b, c = (str(tmp_path / p) for p in ("a", "b", "sub/c"))
+    for path in (a, b):
+        sinks.upsert(path, spark.range(3).selectExpr("id AS k", "'old' AS v"), ["k"], RUN)
+    move, moves = sinks.Publication._move, []
+
+    def stopping(self, source, target):
+        move(self, source, target)
+        moves.append(target)
+        if len(moves) == stop:
+            raise Stopped
+
+    monkeypatch.setattr(sinks.Publication, "_move", stopping)
+    stopped = False
+    try:
+        with sinks.publication(spark) as tables:
+            for path in (a, b, c):
+                tables.stage(path, sinks.stamped(spark.range(5, 9).selectExpr("id AS k", "'new' AS v"), RUN))
+    except Stopped:
+        stopped = True
+    monkeypatch.setattr(sinks.Publication, "_move", move)
+    assert stopped == (stop <= 7)
+    # The next start: an upsert into each table sees all old rows, or all new ones.
+    states = set()
+    for path in (b, a):
+        sinks.upsert(path, spark.createDataFrame([(100, "late")], "k bigint, v string"), ["k"], RUN)
+        states.add(tuple(r.k for r in spark.read.parquet(path).orderBy("k").collect()))
+    assert len(states) == 1 and states <= {(0, 1, 2, 100), (5, 6, 7, 8, 100)}
+    there = sinks.table_exists(spark, c)
+    assert there == (states == {(5, 6, 7, 8, 100)})
+    names = [p.name for p in tmp_path.rglob("*") if p.is_dir() or "__commit_" in p.name]
+    assert not [n for n in names if "__replaced_" in n or "__commit_" in n]
+
+
+@pytest.mark.parametrize("fill", [False, True])
+@pytest.mark.parametrize(
+    "name, column",
+    [(n, f.name) for n, s in (("customers", model.CUSTOMERS), ("channels", model.CHANNELS), ("traffic", model.TRAFFIC)) for f in s if f.dataType.typeName() != "string"],
+)
+def test_a_bad_value_in_any_column_raises(spark, tmp_path, name, column, fill):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    texts = {
+        "customers": "customer_id,account_id,customer_name,segment,industry,country,created_date\n1,10,n,s,i,c,2024-01-01\n",
+        "channels": "channel_id,channel_name,channel_type,unit_price_eur\n1,SMS,SMS,0.05\n",
+        "traffic": "traffic_id,send_date,account_id,customer_id,channel_id,interactions_count,revenue_eur\n1,2024-01-01,10,1,1,5,1.5\n",
+    }
+    header, row = texts[name].strip().split("\n")
+    values = dict(zip(header.split(","), row.split(",")))
+    texts[name] = f"{header}\n{row}\n{','.join(('not-it' if c == column else v) for c, v in values.items())}\n"
+    for n, t in texts.items():
+        (raw / f"{n}.csv").write_text(t)
+    with pytest.raises(contracts.ContractError, match=f"{name}: 1 lines do not parse"):
+        monthly.write_star(spark, str(raw), out, RUN, fill_defaults=fill)
+    assert not sinks.table_exists(spark, f"{out}/traffic")
+
+
+def test_large_money_passes_the_run(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    lines = spark.range(200).selectExpr(
+        "id AS seq",
+        "date_sub(date'2024-03-01', CAST(id AS INT)) AS send_date",
+        "10L AS account_id",
+        "1 AS channel_id",
+        "1 AS interactions_count",
+        "CAST(9999999999.99 AS DECIMAL(12,2)) AS revenue_eur",
+    )
+    raw_files(spark, raw, lines.withColumn("customer_id", F.lit(1).cast("long")))
+    monthly.monthly_run(spark, raw, out, RUN)
+    total = spark.read.parquet(f"{out}/business_analytics/industry_exposure").agg(F.max("total_revenue")).first()[0]
+    assert total == Decimal("1999999999998.00")
+    periods = spark.read.parquet(f"{out}/customers_revenue_by_period")
+    report = {r.rule: r.violations for r in contracts.check_fit(periods, model.FIT_LIMITS["revenue_by_period"]).collect()}
+    assert report["revenue_ytd fits decimal(12,2)"] == 1
+    exposure = spark.read.parquet(f"{out}/business_analytics/industry_exposure").withColumn("total_revenue", F.col("total_revenue") * 1000)
+    assert contracts.check_fit(exposure, model.FIT_LIMITS["industry_exposure"]).first().violations == 1
+
+
+def test_the_updated_row_keeps_its_first_id(spark):
+    star = load.load_star(raw_customers(spark), raw_channels(spark), raw_traffic(spark))
+    ids = {r.traffic_id for r in star.traffic.collect()}
+    resolved = joins.resolve_keys(raw_traffic(spark), star.customers, star.channels)
+    natural = ["send_date", "account_id", "customer_id", "channel_id"]
+    assert ids == {r.i for r in resolved.groupBy(*natural).agg(F.min("seq").alias("i")).collect()}

@@ -7,8 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from registry.queries import QUERIES
 
-SLOW = [n for n in entry.queries() if n != "monthly_run"]
+SLOW = [n for n in QUERIES if n != "monthly_run"]
 
 
 def plan(df) -> str:
@@ -62,3 +63,26 @@ def test_one_shuffle_for_period_metrics(spark, sf_dir):
 def test_metrics_aggregate_by_hash(spark, sf_dir):
     for name in ("revenue_by_period", "upsert_traffic_batch", "q5_whole_periods"):
         assert "SortAggregate" not in plan(entry.queries()[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["q5_whole_periods", "q5_always_active_top"])
+def test_facts_are_reduced_before_they_meet_the_industry(spark, sf_dir, name):
+    """Below the join on the customer stands an aggregate over the orders."""
+    from revmill.plans import questions
+    from revmill.sources import star
+
+    mode = "exact" if "always" in name else "whole_periods"
+    customers = star.customers(spark, sf_dir).select("customer_id", "industry")
+    measured = questions.dimension_activity(
+        customers, star.traffic(spark, sf_dir), "2001-07-15", entity="industry", mode=mode
+    )
+    text = measured._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line for line in text.splitlines() if "Aggregate" in line or "Join" in line]
+    joined = next(i for i, line in enumerate(steps) if "Join" in line)
+    assert "Aggregate" in steps[joined - 1] and "Aggregate" in steps[joined + 1]
+
+
+@pytest.mark.parametrize("name", ["upsert_channels_batch", "upsert_customers_batch"])
+def test_dimension_upserts_aggregate_by_hash(spark, sf_dir, name):
+    text = plan(entry.queries()[name](spark, sf_dir))
+    assert "SortAggregate" not in text and "HashAggregate" in text

@@ -169,3 +169,33 @@ def test_sums_are_exact_and_overflow_raises(spark):
     many = spark.range(1_000_000).selectExpr(*row)
     with pytest.raises(Exception, match="OVERFLOW"):
         aggregates.total_by(many, "k", "m").collect()
+
+
+@pytest.mark.parametrize("take_rows", [0, 50_000])
+def test_rows_without_a_key_are_in_no_top_fraction(spark, take_rows):
+    data = [(1, 10.0), (2, 10.0), (3, 5.0), (4, None), (None, 99.0), (None, 10.0)]
+    df = spark.createDataFrame(data, "k int, m double")
+    want = {0.25: [(1, 10.0)], 0.5: [(1, 10.0), (2, 10.0)], 0.75: [(1, 10.0), (2, 10.0), (3, 5.0)]}
+    for fraction, expected in want.items():
+        assert rows(ranking.top_fraction(df, "m", fraction, "k", take_rows=take_rows)) == expected
+    everything = ranking.top_fraction(df, "m", 1.0, "k", take_rows=take_rows)
+    assert everything.count() == 4
+
+
+def test_top_one(spark):
+    df = spark.createDataFrame([(1, 3.0), (2, 3.0), (3, None)], "k int, m double")
+    assert rows(ranking.top_n(df, "m", 1, "k")) == [(1, 3.0)]
+
+
+@pytest.mark.parametrize("mode, n", [("whole_periods", 3), ("whole_periods", 70), ("exact", 3)])
+def test_activity_by_an_attribute_equals_the_joined_one(spark, mode, n):
+    traffic = spark.range(4000).selectExpr(
+        "id % 37 AS customer_id",
+        "add_months(date'2024-07-15', -CAST(id % 90 AS INT)) AS send_date",
+        "CAST(id AS DECIMAL(12,2)) AS revenue_eur",
+    )
+    customers = spark.range(30).selectExpr("id AS customer_id", "concat('i', id % 4) AS industry")
+    got = questions.dimension_activity(customers, traffic, "2024-07-20", "industry", n, mode=mode)
+    joined = traffic.join(customers, "customer_id")
+    want = questions.entity_activity(joined, "2024-07-20", n, mode=mode, entity="industry")
+    assert rows(got) == rows(want)

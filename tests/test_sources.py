@@ -216,3 +216,33 @@ def test_shuffles_grow_with_the_input_and_never_shrink(spark, tmp_path, monkeypa
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        "note,customer_id,account_id,traffic_id,revenue_eur,send_date,channel_id,interactions_count\n"
+        "x,77,10,1,1.50,2024-01-31,2,5\n"
+    )
+    row = files.read_csv(spark, str(path), model.TRAFFIC).first()
+    assert row == (1, date(2024, 1, 31), 10, 77, 2, 5, row.revenue_eur) and float(row.revenue_eur) == 1.5
+    path.write_text("traffic_id,send_date\n1,2024-01-31\n")
+    with pytest.raises(ValueError, match="no column account_id, customer_id"):
+        files.read_csv(spark, str(path), model.TRAFFIC)
+
+
+def test_a_file_with_another_header_raises(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("channel_id,channel_name,channel_type,unit_price_eur\n1,a,b,1\n")
+    (tmp_path / "b.csv").write_text("channel_name,channel_id,channel_type,unit_price_eur\nb,2,b,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(tmp_path), model.CHANNELS).collect()
+
+
+def test_a_rewritten_folder_is_seen_as_it_is(spark, tmp_path):
+    from revmill.sources import star
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    assert star.table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).withColumnRenamed("id", "other").write.mode("overwrite").parquet(path)
+    assert star.table(spark, str(tmp_path), "t").columns == ["other"]

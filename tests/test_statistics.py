@@ -76,7 +76,7 @@ def test_exact_percentiles_equal_sorting(spark, sortable):
     schema = ", ".join(f"{c} double" for c in COLUMNS)
     df = spark.createDataFrame(data, schema).repartition(4)
     fractions = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = quantiles.exact_percentiles(df, {c: fractions for c in COLUMNS}, sortable=sortable)
+    got, _ = quantiles.exact_percentiles(df, {c: fractions for c in COLUMNS}, sortable=sortable)
     for i, c in enumerate(COLUMNS):
         assert got[c] == [discrete([row[i] for row in data], p) for p in fractions], c
 
@@ -106,7 +106,7 @@ def test_nth_value_of_text(spark):
 
 def test_nan_ranks_after_all_numbers(spark):
     df = spark.range(900).selectExpr("IF(id % 3 = 0, double('NaN'), double(id)) AS x")
-    low, high = quantiles.exact_percentiles(df, {"x": [0.5, 0.9]}, sortable=10)["x"]
+    low, high = quantiles.exact_percentiles(df, {"x": [0.5, 0.9]}, sortable=10)[0]["x"]
     assert low == sorted(i for i in range(900) if i % 3)[449]
     assert math.isnan(high)
 
@@ -144,3 +144,51 @@ def test_categories_of_no_rows_and_of_nulls(spark, exact):
     nulls = spark.createDataFrame([("a", None, 1), ("b", None, 2)], schema)
     got = statistics.industry_categories(nulls, exact).collect()
     assert [r.total_revenue_category for r in got] == ["High", "High"]
+
+
+def counted(spark, df, acc):
+    """df, counting the rows that are read of it."""
+
+    def run(batches):
+        for b in batches:
+            acc.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_exact_quantiles_read_the_input_twice(spark):
+    n = 60_000
+    base = spark.range(n).selectExpr(
+        "(id * 7919) % 60000 AS a",
+        "CAST((id * 104729) % 60000 AS DECIMAL(12,2)) / 4 AS b",
+        "sin(id) AS c",
+        "CASE WHEN id % 3 = 0 THEN 5 ELSE id END AS d",
+    )
+    base = base.withColumn("b", F.col("b").cast("decimal(12,2)")).localCheckpoint()
+    acc = spark.sparkContext.accumulator(0)
+    fractions = {c: [0.25, 0.5, 0.75] for c in base.columns}
+    got, _ = quantiles.exact_percentiles(counted(spark, base, acc), fractions, sortable=5)
+    assert acc.value <= 2 * n
+    data = base.collect()
+    for c in base.columns:
+        assert got[c] == [discrete([r[c] for r in data], p) for p in (0.25, 0.5, 0.75)], c
+
+
+def test_sketches_are_merged_in_two_steps(spark):
+    df = spark.range(0, 1000, 1, 16)
+    _, sizes = quantiles._sketched(df, [(F.col("id"), df.schema["id"].dataType, [0.5])])
+    assert sizes == {"n0": 1000}
+
+
+def test_tables_without_numbers_and_odd_columns(spark):
+    from revmill.plans import statistics
+
+    text = spark.createDataFrame([("a",)], "s string")
+    for exact in (False, True):
+        assert statistics.column_statistics(text, "t", exact=exact).collect() == []
+        df = spark.createDataFrame([(1.0, 2, 1e300), (3.0, 4, 1e301)], "`a.b` double, `c d` int, huge double")
+        got = {r.column_name: r for r in statistics.column_statistics(df, "t", exact=exact).collect()}
+        assert set(got) == {"a.b", "c d"} and float(got["a.b"].max_value) == 3 and float(got["c d"].min_value) == 2
+    wide = spark.createDataFrame([(1e25,)], "x double")
+    assert statistics.column_statistics(wide, "t").count() == 1
