@@ -172,6 +172,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
     doubtful = base.join(ids, same, "left_semi")
     groups = doubtful.groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that the join deals both sides out and can split a text that many rows share.
+    groups = cut_lineage(groups)
     verified = doubtful.join(groups, "text").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), sha
     )
