@@ -77,6 +77,12 @@ def _cuts(rows: DataFrame, key: str, shares: dict[int, tuple[float, float, float
     return done
 
 
+def _in_range(value: Column) -> Column:
+    """Whole numbers whose differences stay 64-bit; what lies beyond counts as the limit."""
+    value = F.coalesce(value.cast("long"), F.lit(0))
+    return F.greatest(F.least(value, F.lit(1 << 61)), F.lit(-(1 << 61)))
+
+
 def _one_place_per_text(rows: DataFrame, dims: list[str]) -> DataFrame:
     """Gives equal texts (by size and CRC) the dimensions of the smallest of them, so that
     they meet in one point. Written to the shared folder."""
@@ -102,7 +108,7 @@ def kd_shards(docs: DataFrame, shards: int, dimensions: dict[str, Column] | None
     be told apart and stay together.
     """
     if dimensions is None:
-        dimensions = {c: F.xxhash64(F.col(c)) for c in ("lang", "source") if c in docs.columns}
+        dimensions = {c: F.shiftright(F.xxhash64(F.col(c)), 2) for c in ("lang", "source") if c in docs.columns}
     text = text_of().cast("binary")
     names = ["size", *[f"dim_{i}" for i in range(len(dimensions))]]
     rows = _one_place_per_text(
@@ -110,7 +116,7 @@ def kd_shards(docs: DataFrame, shards: int, dimensions: dict[str, Column] | None
             "doc_id",
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
-            *[F.shiftrightunsigned(F.coalesce(c.cast("long"), F.lit(0)), 1).alias(n) for n, c in zip(names[1:], dimensions.values())],
+            *[_in_range(c).alias(n) for n, c in zip(names[1:], dimensions.values())],
             F.lit(0).alias("node"),
         ),
         names[1:],
