@@ -21,8 +21,8 @@ from revmill.llm.bpe import encoder
 from revmill.llm.common import numbered, ship, text_of
 from revmill.session import cut_lineage
 
-# Search nodes of the branch and bound beyond the first solution; then the incumbent stands.
-NODES = 3_000
+# Search nodes of the branch and bound, each with a best fit of its own.
+NODES = 100
 
 Pattern = tuple[dict[int, int], int]  # how often each length occurs, number of sequences
 
@@ -166,20 +166,27 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
 
     Branch and bound: the longest piece left is completed by each undominated filling in
     turn, repeated as often as its pieces last; a branch ends when its waste exceeds what a
-    better solution may waste. Best fit of what is left gives the incumbents, from the root
-    on. At the lower bound, or after `nodes` nodes, the incumbent is the answer.
+    better solution may waste. At each node best fit of what is left gives a solution, and
+    the best one so far is the incumbent. At the lower bound, or after `nodes` nodes, the
+    incumbent is the answer.
     """
     counts = {s: c for s, c in counts.items() if c}
     total = sum(s * c for s, c in counts.items())
     bound = -(-total // capacity)
-    best = best_fit(counts, capacity)
-    used = sum(t for _, t in best)
+    best: list[Pattern] = []
+    used = total + 1  # more than one sequence for each token
     stack: list[tuple[dict[int, int], list[Pattern], int, int]] = [(counts, [], 0, 0)]
     while stack and used > bound and nodes > 0:
         left, done, bins, waste = stack.pop()
         if waste > (used - 1) * capacity - total:
             continue
         nodes -= 1
+        tail = best_fit(left, capacity)
+        size = bins + sum(t for _, t in tail)
+        if size < used or not best:
+            used, best = size, [*done, *tail]
+        if not left or used <= bound:
+            continue
         longest = max(left)
         branches = []
         rest = left | {longest: left[longest] - 1}
@@ -188,17 +195,10 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES) ->
             for s in filling:
                 pattern[s] = pattern.get(s, 0) + 1
             times = min(left[s] // k for s, k in pattern.items())
-            after = {s: c - times * pattern.get(s, 0) for s, c in left.items() if c > times * pattern.get(s, 0)}
             lost = waste + times * (capacity - longest - sum(filling))
-            branch = (after, [*done, (pattern, times)], bins + times, lost)
-            if lost > (used - 1) * capacity - total:
-                continue
-            tail = best_fit(after, capacity)
-            size = branch[2] + sum(t for _, t in tail)
-            if size < used:
-                used, best = size, [*branch[1], *tail]
-            if after:
-                branches.append(branch)
+            if lost <= (used - 1) * capacity - total:
+                after = {s: c - times * pattern.get(s, 0) for s, c in left.items() if c > times * pattern.get(s, 0)}
+                branches.append((after, [*done, (pattern, times)], bins + times, lost))
         stack.extend(reversed(branches))
     return best
 
