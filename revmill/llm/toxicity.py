@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmill.llm.bpe import DIGIT, LETTER, _classes
-from revmill.llm.common import ship, text_of
+from revmill.llm.common import if_small, ship, text_of
 from revmill.llm.vectext import Chars, mix64, runs, small_batches
+from revmill.session import cut_lineage
 
 # Beginnings of so many characters are features of the longer words that start with them.
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -188,7 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit = Fit(
     share = min(1.0, fit.max_rows / max(1, total["n"]), fit.max_bytes / max(1, total["b"] or 1))
     grid = 1 << 20
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(grid)) < int(share * grid)
-    sample = rows.filter(drawn).join(known.filter(drawn), "doc_id")
+    # The drawn labels are as few as the sample; sent to the texts, they spare moving those of
+    # documents without a label.
+    few = cut_lineage(known.filter(drawn))
+    sample = rows.filter(drawn).join(if_small(few, few.count(), 16), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
@@ -197,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, fit: Fit = Fit(
         columns = [[model.features.tobytes()], [model.weights.tobytes()], [model.bias]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["features", "weights", "bias"])
 
-    fitted = sample.select("text", "__toxic").coalesce(1).mapInArrow(run, "features binary, weights binary, bias double")
+    fitted = sample.select("text", "__toxic").repartition(1).mapInArrow(run, "features binary, weights binary, bias double")
     row = fitted.first()
     if row is None:  # no partition at all
         return fit_model([], np.zeros(0))
