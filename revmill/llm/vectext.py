@@ -14,7 +14,7 @@ import numpy as np
 _U64 = np.uint64
 # An odd factor has an inverse modulo 2**64, which moves a stretch's sum to position 0.
 _FACTOR = 0x9E3779B97F4A7C15
-_BLOCK = 1 << 21
+_BLOCK = 1 << 20
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
