@@ -30,11 +30,12 @@ from revmill.session import cut_lineage, scratch
 # Hashes of the mark before the first word and of the end token. Words hash through a
 # scrambling that leaves these two as likely as any other value.
 BEGIN, END = np.uint64(0x6265676E6265676E), np.uint64(0x656E6420656E6420)
-# Text bytes per shard of pairs, and shards of pairs per shard of words.
-SHARD_BYTES = 32 * 1024 * 1024
-WORD_SHARDS = 4
-# Distinct pairs a task gathers before it sends them.
-HELD = 2_000_000
+# Text bytes per shard of pairs and of words.
+SHARD_BYTES = 22 * 1024 * 1024
+# Distinct pairs a task gathers before it sends them, and characters it tokenises at once:
+# a worker's memory follows these two.
+HELD = 1_200_000
+CHARS = 1 << 20
 WORD_COLUMNS = 6  # count, words before it, and as a context: total, successors seen 1, 2, 3+ times
 
 
@@ -153,7 +154,9 @@ _COUNTS = "kind string, shard int, packed binary"
 
 def _counter(pair_shards: int, word_shards: int):
     def flush(words, pairs) -> pa.RecordBatch:
-        h, columns = _sum_words(words)
+        h, back = np.unique(np.concatenate([x for x, _ in words]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([x for _, x in words])).astype(np.int64)
+        columns = _only(0, n)
         g, u, w, c = _sum_pairs(pairs)
         rows = _parts("word", _shard(h, word_shards), lambda r: pack_words(h[r], columns[:, r]))
         rows += _parts("pair", _shard(g, pair_shards), lambda r: pack_pairs(u[r], w[r], c[r]))
@@ -166,10 +169,10 @@ def _counter(pair_shards: int, word_shards: int):
         words, pairs, held = [], [], 0
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for a, b in small_batches(texts):
+            for a, b in small_batches(texts, CHARS):
                 h, _, before = tokens(texts[a:b])
                 distinct, n = np.unique(h, return_counts=True)
-                words.append((distinct, _only(0, n)))
+                words.append((distinct, n))
                 _, first, n = np.unique(combine(before, h), return_index=True, return_counts=True)
                 pairs.append((before[first], h[first], n))
                 held += len(first)
@@ -189,17 +192,30 @@ def _ones(counts: np.ndarray) -> list[int]:
 _STORED = "kind string, shard int, packed binary, hashes string, numbers string, n long, total long, known long, seen array<long>"
 
 
-def _store_pairs(folder: str, word_shards: int):
+def _context(u: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the pairs of a shard say about their first words."""
+    order = np.argsort(u, kind="stable")
+    u, c = u[order], c[order]
+    first = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
+    columns = np.zeros((WORD_COLUMNS, len(first)), np.int64)
+    for row, values in ((2, c), (3, c == 1), (4, c == 2), (5, c >= 3)):
+        columns[row] = np.add.reduceat(values.astype(np.int64), first)
+    return u[first], columns
+
+
+def _store_counts(folder: str, word_shards: int):
+    """Adds up the counts of a shard. Pairs are stored, and what they say about words is sent
+    on to the words' shards, as the words' own counts are."""
+
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        kind, shard = key[0].as_py(), key[1].as_py()
+        if kind == "word":
+            h, columns = _sum_words([unpack_words(x.as_py()) for x in table.column("packed")])
+            return pa.Table.from_pylist([{"kind": "word", "shard": shard, "packed": pack_words(h, columns)}], _schema())
         g, u, w, c = _sum_pairs([unpack_pairs(x.as_py()) for x in table.column("packed")])
-        shard = key[0].as_py()
-        context = np.zeros((WORD_COLUMNS, len(u)), np.int64)
-        context[2] = c
-        for k, row in ((1, 3), (2, 4)):
-            context[row] = c == k
-        context[5] = c >= 3
-        h, columns = _sum_words([(u, context)])
-        h, columns = _sum_words([(h, columns), (w, _only(1, np.ones(len(w), np.int64)))])
+        after, n = np.unique(w, return_counts=True)
+        h, columns = _sum_words([_context(u, c), (after, _only(1, n))])
+        del u, w
         moved = _parts("word", _shard(h, word_shards), lambda r: pack_words(h[r], columns[:, r]))
         numbers = c if len(c) == 0 or c.max() > 0xFFFFFFFF else c.astype(np.uint32)
         rows = [
@@ -278,13 +294,11 @@ def train(docs: DataFrame, may_learn: Column) -> Model:
     chosen = docs.filter(may_learn).select(text_of().alias("text"))
     size = chosen.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     pair_shards = max(8, -(-size // SHARD_BYTES))
-    word_shards = max(4, -(-pair_shards // WORD_SHARDS))
+    word_shards = pair_shards
     folder = scratch(spark, "kneser-ney")
-    counts = cut_lineage(chosen.mapInArrow(_counter(pair_shards, word_shards), _COUNTS))
-    pairs = counts.filter("kind = 'pair'").select("shard", "packed")
-    stored = cut_lineage(pairs.groupBy("shard").applyInArrow(_store_pairs(folder, word_shards), _STORED))
-    moved = stored.filter("kind = 'word'").select("shard", "packed")
-    words = counts.filter("kind = 'word'").select("shard", "packed").unionAll(moved)
+    counts = chosen.mapInArrow(_counter(pair_shards, word_shards), _COUNTS)
+    stored = cut_lineage(counts.groupBy("kind", "shard").applyInArrow(_store_counts(folder, word_shards), _STORED))
+    words = stored.filter("kind = 'word'").select("shard", "packed")
     kept = cut_lineage(words.groupBy("shard").applyInArrow(_store_words(folder), _STORED))
     # One row for each shard: addresses and sums, no counts.
     columns = ["shard", "hashes", "numbers", "n", "total", "known", "seen"]
@@ -374,7 +388,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in small_batches(texts):
+            for a, b in small_batches(texts, CHARS):
                 n, known, base, own = log_probabilities(texts[a:b], sent.value)
                 columns = [batch.column(0).slice(a, b - a), *map(pa.array, (n, known, base, own, 10 ** (-own / n)))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names])
