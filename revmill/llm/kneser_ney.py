@@ -185,6 +185,12 @@ def _counter(pair_shards: int, word_shards: int):
     return count
 
 
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest type that holds all of them."""
+    most = int(numbers.max()) if numbers.size else 0
+    return numbers.astype("u2" if most < 1 << 16 else "u4" if most < 1 << 32 else "i8")
+
+
 def _ones(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
@@ -217,7 +223,7 @@ def _store_counts(folder: str, word_shards: int):
         h, columns = _sum_words([_context(u, c), (after, _only(1, n))])
         del u, w
         moved = _parts("word", _shard(h, word_shards), lambda r: pack_words(h[r], columns[:, r]))
-        numbers = c if len(c) == 0 or c.max() > 0xFFFFFFFF else c.astype(np.uint32)
+        numbers = _narrow(c)
         rows = [
             {
                 "kind": "pair",
@@ -239,12 +245,12 @@ def _store_counts(folder: str, word_shards: int):
 def _store_words(folder: str):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         h, columns = _sum_words([unpack_words(x.as_py()) for x in table.column("packed")])
-        shard = key[0].as_py()
+        shard, numbers = key[0].as_py(), _narrow(np.ascontiguousarray(columns.T))
         row = {
             "kind": "word",
             "shard": shard,
             "hashes": store.put(folder, f"word-{shard}-hash", h),
-            "numbers": store.put(folder, f"word-{shard}-i8", np.ascontiguousarray(columns.T)),
+            "numbers": store.put(folder, f"word-{shard}-{numbers.dtype.str[1:]}", numbers),
             "n": len(h),
             "total": int(columns[0].sum()),
             "known": int((columns[0] > 0).sum()),
