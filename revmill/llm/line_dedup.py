@@ -2,9 +2,12 @@
 
 A line ends at a line feed, or behind a sentence's end, so that a passage set in the middle of
 a paragraph has lines of its own. Lines are compared by the 64-bit hash of what is left
-without outer white space. A line of some words that several documents share pairs each later
-one with the first one that holds it: a line in n documents gives n - 1 pairs, however common
-it is. Each pair is aligned by patience diff, and the later document loses its aligned blocks.
+without outer white space. A window is a line of some words, or as many consecutive lines as
+reach them, counted from each line onward and from each line back. A window that several
+documents share pairs each later one with the first one that holds it: a window in n documents
+gives n - 1 pairs, however common it is, and every line of a common block lies in a window
+inside the block. Each pair is aligned by patience diff, and the later document loses its
+aligned blocks.
 """
 
 from __future__ import annotations
@@ -20,15 +23,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmill.llm import vectext
 from revmill.llm.common import if_small, ship, text_of
 from revmill.session import cut_lineage
 
-# A line of fewer words finds no pairs: such lines are shared by chance. It is still aligned.
+# A line of fewer words finds pairs only together with the lines beside it: alone, such lines
+# are shared by chance. It is still aligned.
 PAIR_WORDS = 4
 # A run of aligned lines with fewer words stays.
 BLOCK_WORDS = 25
+# A line counts as one word for so many characters at least, whether it has blanks or not.
+WORD_CHARS = 24
 
 _END = re.compile(r"[.!?]+[^\S\n]+|\n")
+# Scripts written without blanks between words: Thai to Myanmar, Khmer, kana and Han.
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def cut_lines(text: str) -> list[tuple[int, int]]:
@@ -39,29 +48,71 @@ def cut_lines(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges, edges[1:]) if not text[a:b].isspace()]
 
 
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def count_words(lines: list[str]) -> list[int]:
+    """Words of each line. Each character of a script without blanks is a word."""
+    out = [max(len(x.split()), -(-len(x) // WORD_CHARS)) for x in lines]
+    if not all(map(str.isascii, lines)):
+        out = [n if x.isascii() else max(n, len(_DENSE.findall(x)) + len(_DENSE.sub(" ", x).split())) for n, x in zip(out, lines)]
+    return out
 
-    digest = xxhash.xxh64_intdigest
-    for batch in batches:
-        hashes, words, begins, ends = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            spans = cut_lines(text)
-            lines = [text[a:b].strip() for a, b in spans]
-            hashes.append(np.array([digest(x.encode("utf-8", "surrogatepass")) for x in lines], np.uint64).view(np.int64))
-            words.append(np.array([len(x.split()) for x in lines], np.int32))
-            begins.append(np.array([a for a, _ in spans], np.int32))
-            ends.append(np.array([b for _, b in spans], np.int32))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array(hashes, pa.list_(pa.int64())),
-                pa.array(words, pa.list_(pa.int32())),
-                pa.array(begins, pa.list_(pa.int32())),
-                pa.array(ends, pa.list_(pa.int32())),
-            ],
-            ["key", "hashes", "words", "begins", "ends"],
-        )
+
+def windows(words: np.ndarray, edges: np.ndarray, least: int, back: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the shortest window of `least` words or more from each line onward, or
+    with back up to each line; none crosses the edges between documents."""
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    at = np.arange(len(words))
+    doc = np.searchsorted(edges, at, side="right") - 1
+    if back:
+        begin, end = np.searchsorted(total, total[1:] - least, side="right") - 1, at + 1
+        whole = begin >= edges[doc]
+    else:
+        begin, end = at, np.searchsorted(total, total[:-1] + least)
+        whole = end <= edges[doc + 1]
+    return begin[whole], end[whole]
+
+
+def _keys(hashes: np.ndarray, words: np.ndarray, edges: np.ndarray, pair_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the windows of each document, end to end, and where each one's begin."""
+    ways = [windows(words, edges, pair_words), windows(words, edges, pair_words, back=True)]
+    begin, end = (np.concatenate(x) for x in zip(*ways))
+    h = vectext.stretches(hashes, begin, end)
+    doc = np.searchsorted(edges, begin, side="right") - 1
+    order = np.lexsort((h, doc))
+    h, doc = h[order], doc[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    h, doc = h[new], doc[new]
+    return h.view(np.int64), np.searchsorted(doc, np.arange(len(edges)))
+
+
+def _lines(pair_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            hashes, words, begins, ends, edges = [], [], [], [], [0]
+            for text in batch.column(1).to_pylist():
+                spans = cut_lines(text)
+                lines = [text[a:b].strip() for a, b in spans]
+                hashes += [digest(x.encode("utf-8", "surrogatepass")) for x in lines]
+                words += count_words(lines)
+                begins += [a for a, _ in spans]
+                ends += [b for _, b in spans]
+                edges.append(len(hashes))
+            flat, sizes, at = np.array(hashes, np.uint64), np.array(words, np.int32), np.array(edges, np.int32)
+            keys, firsts = _keys(flat, sizes, at, pair_words)
+            columns = [pa.array(x, kind) for x, kind in ((flat.view(np.int64), pa.int64()), (sizes, pa.int32()), (begins, pa.int32()), (ends, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    *[pa.ListArray.from_arrays(pa.array(at), x) for x in columns],
+                    pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(keys)),
+                ],
+                ["key", "hashes", "words", "begins", "ends", "keys"],
+            )
+
+    return run
 
 
 def _rising(values: list[int]) -> list[int]:
@@ -185,14 +236,20 @@ def common_blocks(docs: DataFrame, pair_words: int = PAIR_WORDS, block_words: in
     key_type = docs.select(_key()).schema["key"].dataType
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     schema = T.StructType(
-        [T.StructField("key", key_type), T.StructField("hashes", longs), *[T.StructField(n, ints) for n in ("words", "begins", "ends")]]
+        [
+            T.StructField("key", key_type),
+            T.StructField("hashes", longs),
+            *[T.StructField(n, ints) for n in ("words", "begins", "ends")],
+            T.StructField("keys", longs),
+        ]
     )
-    lines = cut_lineage(docs.select(_key(), text_of().alias("text")).mapInArrow(_lines, schema))
+    lines = cut_lineage(docs.select(_key(), text_of().alias("text")).mapInArrow(_lines(pair_words), schema))
     single = lines.dropDuplicates(["key"]) if _has_repeats(lines) else lines
-    held = single.select("key", F.explode(F.arrays_zip("hashes", "words")).alias("l")).filter(F.col("l.words") >= pair_words)
-    held = held.select("key", F.col("l.hashes").alias("h"))
-    firsts = held.groupBy("h").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last")
-    firsts = cut_lineage(firsts.select("h", "first"))
+    # A document has each of its windows once, so a count tells whether others share it.
+    held = single.select("key", F.explode("keys").alias("h"))
+    shared = cut_lineage(held.groupBy("h").count().filter("count > 1").select("h"))
+    held = cut_lineage(held.join(if_small(shared, shared.count(), 32), "h"))
+    firsts = cut_lineage(held.groupBy("h").agg(F.min("key").alias("first")))
     pairs = cut_lineage(held.join(firsts, "h").filter("first < key").select("first", "key").distinct())
     arrays = single.select(F.col("key").alias("k"), "hashes")
     both = pairs.join(arrays.select("k", F.col("hashes").alias("later_hashes")), F.col("key") == F.col("k")).drop("k")

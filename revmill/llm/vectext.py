@@ -56,6 +56,15 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def stretches(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches values[begin:end] of 64-bit hashes."""
+    n = len(values)
+    _POWERS.need(n + 1)
+    sums = np.zeros(n + 1, _U64)
+    np.cumsum(mix64(values) * _POWERS.up[:n], out=sums[1:])
+    return mix64((sums[end] - sums[begin]) * _POWERS.down[begin] + (end - begin).astype(_U64) * _U64(0xA0761D6478BD642F))
+
+
 class Chars:
     """Code points of a batch. Text i is codes[starts[i]:starts[i + 1]]."""
 

@@ -218,3 +218,31 @@ def test_clashing_columns_stay(odd):
     cut = line_dedup.drop_common_blocks(odd, prefix="__cut_").select(odd.columns)
     assert cut.schema.names == odd.schema.names
     assert sorted(r.key for r in cut.collect()) == sorted(r.key for r in odd.select(F.col("key")).collect())
+
+
+def test_blocks_of_short_lines_are_cut(documents):
+    rnd = random.Random(9)
+    verse = "\n".join(words(rnd, rnd.choice([1, 2, 3])) for _ in range(40))
+    dense = "\n".join("".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(9)) for _ in range(6))
+    solid = "".join(rnd.choice("abcdef0123456789") for _ in range(2000))
+    rows = [(1, verse), (2, verse), (3, f"{words(rnd, 9)}.\n{verse}\nthe end"), (4, dense), (5, dense), (6, solid), (7, solid)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_common_blocks(documents(rows)).collect()}
+    texts = dict(rows)
+    assert all(got[i] == texts[i] for i in (1, 4, 6)) and all(got[i] == "" for i in (2, 5, 7))
+    assert got[3] == texts[3].replace(verse + "\n", "")
+
+
+def test_windows_cover_each_line_of_a_block():
+    rnd = random.Random(10)
+    for _ in range(200):
+        sizes = [rnd.choice([1, 1, 2, 3, 7]) for _ in range(rnd.randint(1, 12))]
+        edge = rnd.randint(0, len(sizes))
+        edges = np.array([0, edge, len(sizes)])
+        seen = set()
+        for back in (False, True):
+            for b, e in zip(*line_dedup.windows(np.array(sizes), edges, 4, back)):
+                assert sum(sizes[b:e]) >= 4 and (e <= edge or b >= edge)
+                assert sum(sizes[b + 1 : e] if back else sizes[b : e - 1]) < 4
+                seen |= set(range(b, e))
+        want = [i for a, b in ((0, edge), (edge, len(sizes))) if sum(sizes[a:b]) >= 4 for i in range(a, b)]
+        assert sorted(seen) == want
