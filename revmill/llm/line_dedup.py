@@ -6,8 +6,9 @@ without outer white space. A window is a line of some words, or as many consecut
 reach them, counted from each line onward and from each line back. A window that several
 documents share pairs each later one with the first one that holds it: a window in n documents
 gives n - 1 pairs, however common it is, and every line of a common block lies in a window
-inside the block. Each pair is aligned by patience diff, and the later document loses its
-aligned blocks.
+inside the block. Windows of a whole block's words pair a document with the first holder of the
+block itself as well, not just with the first holders of its parts. Each pair is aligned by
+patience diff, and the later document loses its aligned blocks.
 """
 
 from __future__ import annotations
@@ -71,9 +72,9 @@ def windows(words: np.ndarray, edges: np.ndarray, least: int, back: bool = False
     return begin[whole], end[whole]
 
 
-def _keys(hashes: np.ndarray, words: np.ndarray, edges: np.ndarray, pair_words: int) -> tuple[np.ndarray, np.ndarray]:
+def _keys(hashes: np.ndarray, words: np.ndarray, edges: np.ndarray, steps: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the windows of each document, end to end, and where each one's begin."""
-    ways = [windows(words, edges, pair_words), windows(words, edges, pair_words, back=True)]
+    ways = [windows(words, edges, least, back) for least in steps for back in (False, True)]
     begin, end = (np.concatenate(x) for x in zip(*ways))
     h = vectext.stretches(hashes, begin, end)
     doc = np.searchsorted(edges, begin, side="right") - 1
@@ -85,7 +86,7 @@ def _keys(hashes: np.ndarray, words: np.ndarray, edges: np.ndarray, pair_words:
     return h.view(np.int64), np.searchsorted(doc, np.arange(len(edges)))
 
 
-def _lines(pair_words: int):
+def _lines(steps: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -101,7 +102,7 @@ def _lines(pair_words: int):
                 ends += [b for _, b in spans]
                 edges.append(len(hashes))
             flat, sizes, at = np.array(hashes, np.uint64), np.array(words, np.int32), np.array(edges, np.int32)
-            keys, firsts = _keys(flat, sizes, at, pair_words)
+            keys, firsts = _keys(flat, sizes, at, steps)
             columns = [pa.array(x, kind) for x, kind in ((flat.view(np.int64), pa.int64()), (sizes, pa.int32()), (begins, pa.int32()), (ends, pa.int32()))]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -243,7 +244,7 @@ def common_blocks(docs: DataFrame, pair_words: int = PAIR_WORDS, block_words: in
             T.StructField("keys", longs),
         ]
     )
-    lines = cut_lineage(docs.select(_key(), text_of().alias("text")).mapInArrow(_lines(pair_words), schema))
+    lines = cut_lineage(docs.select(_key(), text_of().alias("text")).mapInArrow(_lines([pair_words, max(pair_words, block_words)]), schema))
     single = lines.dropDuplicates(["key"]) if _has_repeats(lines) else lines
     # A document has each of its windows once, so a count tells whether others share it.
     held = single.select("key", F.explode("keys").alias("h"))

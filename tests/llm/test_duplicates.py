@@ -246,3 +246,16 @@ def test_windows_cover_each_line_of_a_block():
                 seen |= set(range(b, e))
         want = [i for a, b in ((0, edge), (edge, len(sizes))) if sum(sizes[a:b]) >= 4 for i in range(a, b)]
         assert sorted(seen) == want
+
+
+def test_the_first_holder_of_a_block_is_aligned(documents):
+    rnd = random.Random(11)
+    long = [words(rnd, 9) + "." for _ in range(8)]
+    # Each longer line has an earlier holder of its own, and what stands beside the short one differs.
+    rows = [(i, f"{words(rnd, 7)}.\n{x}\n{words(rnd, 7)}.") for i, x in enumerate(long)]
+    rows.append((20, "\n".join([*long[:4], "odd", "short", "even", *long[4:]])))
+    copy = "\n".join([*long[:4], "short", *long[4:]])
+    texts = dict([*rows, (21, copy), (22, rows[-1][1])])
+    got = {r.doc_id: r.text for r in line_dedup.drop_common_blocks(documents(list(texts.items()))).collect()}
+    assert got[21] == "" and got[22] == ""
+    assert all(got[i] == texts[i] for i in range(8))
