@@ -21,8 +21,10 @@ from revmill.llm.bpe import encoder
 from revmill.llm.common import numbered, ship, text_of
 from revmill.session import cut_lineage
 
-# Search nodes of the branch and bound, each with a best fit of its own.
-NODES = 100
+# Search nodes of the branch and bound for each distinct length, and at least. A branch has
+# about one node for each distinct length.
+NODES = 4
+LEAST_NODES = 5000
 
 Pattern = tuple[dict[int, int], int]  # how often each length occurs, number of sequences
 
@@ -161,46 +163,81 @@ def fillings(counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
     return sorted(found, key=lambda f: (-sum(f), len(f)))
 
 
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
+def _branches(left: dict[int, int], capacity: int) -> Iterator[tuple[dict[int, int], int, int] | None]:
+    """Pattern, how many sequences repeat it, and each one's waste: the ways to complete the
+    longest piece, each as often as its pieces last; behind them the same ones fewer times.
+    None for what is passed over."""
+    longest = max(left)
+    most: list[tuple[dict[int, int], int, int]] = []
+    rest = left | {longest: left[longest] - 1}
+    for filling in fillings(rest, capacity - longest):
+        if filling is None:
+            yield None
+            continue
+        pattern: dict[int, int] = {longest: 1}
+        for s in filling:
+            pattern[s] = pattern.get(s, 0) + 1
+        # rest and left may change meanwhile, but are as they were when a branch is taken.
+        most.append((pattern, min(left[s] // k for s, k in pattern.items()), capacity - longest - sum(filling)))
+        yield most[-1]
+    for pattern, times, lost in most:
+        for fewer in range(times - 1, 0, -1):
+            yield pattern, fewer, lost
+
+
+def complete_bins(counts: dict[int, int], capacity: int, nodes: int | None = None) -> list[Pattern]:
     """A packing of the histogram in as few sequences as the search finds.
 
-    Branch and bound: the longest piece left is completed by each undominated filling in
-    turn, repeated as often as its pieces last; a branch ends when its waste exceeds what a
-    better solution may waste. At each node best fit of what is left gives a solution, and
-    the best one so far is the incumbent. At the lower bound, or after `nodes` nodes, the
-    incumbent is the answer.
+    Branch and bound by bin completion: the longest piece left is completed by each
+    undominated filling in turn, least waste first; a branch ends when its waste exceeds what
+    a better solution may waste. Best fit is the first solution. At the lower bound, or after
+    `nodes` fillings (by default in proportion to the distinct lengths, so that whole branches
+    end), the best solution so far is the answer; without that limit the search is complete.
     """
-    counts = {s: c for s, c in counts.items() if c}
-    total = sum(s * c for s, c in counts.items())
+    return search(counts, capacity, nodes)[0]
+
+
+def search(counts: dict[int, int], capacity: int, nodes: int | None = None) -> tuple[list[Pattern], int, int]:
+    """The plan of complete_bins, the lower bound of its sequences, and the nodes visited."""
+    left = {s: c for s, c in counts.items() if c}
+    total = sum(s * c for s, c in left.items())
     bound = -(-total // capacity)
-    best: list[Pattern] = []
-    used = total + 1  # more than one sequence for each token
-    stack: list[tuple[dict[int, int], list[Pattern], int, int]] = [(counts, [], 0, 0)]
-    while stack and used > bound and nodes > 0:
-        left, done, bins, waste = stack.pop()
-        if waste > (used - 1) * capacity - total:
-            continue
-        nodes -= 1
-        tail = best_fit(left, capacity)
-        size = bins + sum(t for _, t in tail)
-        if size < used or not best:
-            used, best = size, [*done, *tail]
-        if not left or used <= bound:
+    best = best_fit(left, capacity)
+    used = sum(t for _, t in best)
+    limit = max(LEAST_NODES, NODES * len(left)) if nodes is None else nodes
+    seen, bins, waste = 0, 0, 0
+    done: list[tuple[dict[int, int], int, int]] = []
+    stack = [_branches(left, capacity)] if left else []
+    while stack and used > bound and seen < limit:
+        step = next(stack[-1], ())
+        if step is None:
+            seen += 1
             continue
-        longest = max(left)
-        branches = []
-        rest = left | {longest: left[longest] - 1}
-        for filling in fillings(rest, capacity - longest):
-            pattern: dict[int, int] = {longest: 1}
-            for s in filling:
-                pattern[s] = pattern.get(s, 0) + 1
-            times = min(left[s] // k for s, k in pattern.items())
-            lost = waste + times * (capacity - longest - sum(filling))
-            if lost <= (used - 1) * capacity - total:
-                after = {s: c - times * pattern.get(s, 0) for s, c in left.items() if c > times * pattern.get(s, 0)}
-                branches.append((after, [*done, (pattern, times)], bins + times, lost))
-        stack.extend(reversed(branches))
-    return best
+        spare = (used - 1) * capacity - total - waste
+        # The first pass comes least waste first, the second repeats it with fewer sequences.
+        if step:
+            seen += 1
+            pattern, times, lost = step
+            if times * lost > spare:
+                continue
+            for s, k in pattern.items():
+                left[s] -= times * k
+                if not left[s]:
+                    del left[s]
+            done.append(step)
+            bins, waste = bins + times, waste + times * lost
+            if left:
+                stack.append(_branches(left, capacity))
+                continue
+            used, best = bins, [(p, t) for p, t, _ in done]
+        else:
+            stack.pop()
+        if done:
+            pattern, times, lost = done.pop()
+            for s, k in pattern.items():
+                left[s] = left.get(s, 0) + times * k
+            bins, waste = bins - times, waste - times * lost
+    return best, bound, seen
 
 
 def _places(plan: list[Pattern]) -> tuple[np.ndarray, ...]:

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
@@ -160,3 +160,21 @@ def test_pieces_can_carry_their_ids(documents):
     docs = documents([(1, "alpha beta gamma")])
     row = packing.token_pieces(docs, PATH, 4, 0, with_ids=True).orderBy("piece").collect()
     assert [i for r in row for i in r.ids] == [*library_ids(["alpha beta gamma"])[0], 0]
+
+
+def skewed(seed):
+    rnd = random.Random(seed)
+    sizes = [min(2048, max(20, int(rnd.lognormvariate(6.4, 0.8)))) for _ in range(1200)] + [1500] * 400
+    return Counter(sizes)
+
+
+def test_whole_branches_of_the_search_end():
+    for seed in (0, 5):
+        counts = dict(skewed(seed))
+        plan, bound, nodes = packing.search(counts, 2048)
+        packed = Counter()
+        for pattern, times in plan:
+            assert sum(s * k for s, k in pattern.items()) <= 2048
+            packed.update({s: k * times for s, k in pattern.items()})
+        assert packed == counts and nodes > len(counts)
+        assert bound <= sum(t for _, t in plan) < sum(t for _, t in packing.best_fit(counts, 2048))
