@@ -8,6 +8,7 @@ places in it by their rank within their length, which is counted in a distribute
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -125,42 +126,91 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [g for groups in open_.values() for g in groups]
 
 
-def fillings(counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill the room with up to three pieces, least waste first.
+class _Sums:
+    """Subset sums up to room of a histogram (sizes rising, counts): bit t of reach[k] tells
+    whether t is a sum of pieces of the k smallest sizes."""
+
+    def __init__(self, counts: dict[int, int], room: int):
+        self.sizes = sorted(s for s, c in counts.items() if c and s <= room)
+        self.counts = [min(counts[s], room // s) for s in self.sizes]
+        full = (1 << room + 1) - 1
+        bits, self.reach = 1, [1]
+        for size, left in zip(self.sizes, self.counts):
+            if bits == full:
+                break  # and so are all that follow
+            step = 1
+            while left:
+                step = min(step, left)
+                bits |= bits << size * step & full
+                left -= step
+                step *= 2
+            self.reach.append(bits)
+
+    def holds(self, k: int, total: int) -> bool:
+        return self.reach[min(k, len(self.reach) - 1)] >> total & 1 == 1
+
+    def of(self, total: int, k: int | None = None) -> Iterator[tuple[int, ...]]:
+        """The ways to reach a sum with pieces of the k smallest sizes, long pieces first."""
+        k = len(self.sizes) if k is None else k
+        if not total:
+            yield ()
+            return
+        k = min(k, bisect.bisect_right(self.sizes, total))
+        while k and self.holds(k, total):
+            k -= 1
+            size = self.sizes[k]
+            for n in range(min(self.counts[k], total // size), 0, -1):
+                rest = total - n * size
+                if self.holds(k, rest):
+                    for others in self.of(rest, k):
+                        yield (size,) * n + others
+
+
+def contained(small: tuple[int, ...], large: tuple[int, ...], steps: int = 2000) -> bool:
+    """Whether the pieces of small fit together into those of large (both falling). An answer
+    that takes more steps counts as no, which only keeps a filling."""
+    seen: set[tuple[int, ...]] = set()
+    stack = [(0, large)]
+    while stack and steps:
+        steps -= 1
+        i, rooms = stack.pop()
+        if i == len(small):
+            return True
+        if rooms in seen:
+            continue
+        seen.add(rooms)
+        piece = small[i]
+        for room in sorted({r for r in rooms if r >= piece}, reverse=True):
+            after = list(rooms)
+            after.remove(room)
+            stack.append((i + 1, tuple(sorted([*after, room - piece], reverse=True))))
+    return False
+
+
+def undominated(counts: dict[int, int], room: int) -> Iterator[tuple[int, ...] | None]:
+    """Undominated ways to fill the room with any number of pieces, one by one, least waste
+    first, then long pieces first; None for each dominated one that is passed over.
 
-    A filling is dominated if its pieces fit together into the pieces of another one: of
-    single pieces only the longest counts, and a pair or triple counts only if it leaves
-    less room than every filling with fewer pieces does.
+    A filling is dominated if its pieces fit together into the pieces of another one. That
+    one has a larger sum or longer pieces, so it comes earlier.
     """
-    sizes = np.array(sorted(s for s in counts if counts[s] and s <= room), np.int64)
-    if not len(sizes):
-        return [()]
-    found = [(int(sizes[-1]),)]
-    best = int(sizes[-1])
-    if best == room:
-        return found
-    spare = {s: counts[s] for s in sizes.tolist()}
-    at = np.searchsorted(sizes, room - sizes, side="right") - 1
-    pairs = {
-        (int(a), int(sizes[j]))
-        for a, j in zip(sizes, at)
-        if j >= 0 and sizes[j] <= a and (sizes[j] < a or spare[int(a)] > 1)
-    }
-    pairs = sorted((p for p in pairs if sum(p) > best), key=lambda p: (-sum(p), -p[0]))
-    found += pairs[:16]
-    best = max(best, *(sum(p) for p in pairs)) if pairs else best
-    if best < room:
-        triples = []
-        for a in sizes[::-1][:32].tolist():
-            rest = room - a
-            for b in sizes[(sizes <= rest) & (sizes <= a)][::-1][:32].tolist():
-                j = int(np.searchsorted(sizes, rest - b, side="right")) - 1
-                if j >= 0 and sizes[j] <= b:
-                    t = (a, b, int(sizes[j]))
-                    if sum(t) > best and all(t.count(x) <= spare[x] for x in t):
-                        triples.append(t)
-        found += sorted(set(triples), key=lambda t: (-sum(t), -t[0]))[:8]
-    return sorted(found, key=lambda f: (-sum(f), len(f)))
+    sums = _Sums(counts, room)
+    found: list[tuple[int, ...]] = []
+    for total in range(room, -1, -1):
+        if sums.holds(len(sums.sizes), total):
+            for filling in sums.of(total):
+                if any(contained(filling, f) for f in found):
+                    yield None
+                    continue
+                found.append(filling)
+                yield filling
+                if filling == (room,):
+                    return  # it contains all others
+
+
+def fillings(counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
+    """All undominated ways to fill the room, least waste first."""
+    return [f for f in undominated(counts, room) if f is not None]
 
 
 def _branches(left: dict[int, int], capacity: int) -> Iterator[tuple[dict[int, int], int, int] | None]:
@@ -170,7 +220,7 @@ def _branches(left: dict[int, int], capacity: int) -> Iterator[tuple[dict[int, i
     longest = max(left)
     most: list[tuple[dict[int, int], int, int]] = []
     rest = left | {longest: left[longest] - 1}
-    for filling in fillings(rest, capacity - longest):
+    for filling in undominated(rest, capacity - longest):
         if filling is None:
             yield None
             continue

@@ -178,3 +178,26 @@ def test_whole_branches_of_the_search_end():
             packed.update({s: k * times for s, k in pattern.items()})
         assert packed == counts and nodes > len(counts)
         assert bound <= sum(t for _, t in plan) < sum(t for _, t in packing.best_fit(counts, 2048))
+
+
+def test_fillings_hold_any_number_of_pieces():
+    assert packing.fillings({8: 1, 1: 1, 3: 3}, 10) == [(3, 3, 3, 1), (8, 1)]
+    assert packing.fillings({2: 9}, 18) == [(2,) * 9]
+    rnd = random.Random(12)
+    for _ in range(100):
+        sizes = sorted((rnd.randint(1, 12) for _ in range(rnd.randint(1, 8))), reverse=True)
+        room = rnd.randint(1, 20)
+        every = {c for n in range(9) for c in combinations(sizes, n) if sum(c) <= room}
+        want = {a for a in every if not any(a != b and packing.contained(a, b) for b in every)}
+        found = packing.fillings(Counter(sizes), room)
+        assert set(found) == want and len(found) == len(want)
+
+
+def test_containment_is_a_packing():
+    assert packing.contained((3, 3), (7,)) and packing.contained((5, 3, 2), (6, 5))
+    assert not packing.contained((3, 3, 3), (8, 1)) and not packing.contained((4, 4), (7, 2))
+
+
+def test_lazy_fillings_save_sequences():
+    counts = dict(skewed(2))
+    assert sum(t for _, t in packing.complete_bins(counts, 2048)) <= 769
