@@ -8,7 +8,8 @@ documents share pairs each later one with the first one that holds it: a window
 gives n - 1 pairs, however common it is, and every line of a common block lies in a window
 inside the block. Windows of a whole block's words pair a document with the first holder of the
 block itself as well, not just with the first holders of its parts. Each pair is aligned by
-patience diff, and the later document loses its aligned blocks.
+patience diff, and the later document loses its aligned blocks, with those that it holds more
+often than the earlier one.
 """
 
 from __future__ import annotations
@@ -136,9 +137,68 @@ def _rising(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def longest_run(a: list[int], b: list[int]) -> tuple[int, int, int]:
+    """Begin in a, begin in b and length of the longest run of lines that both hold, the first
+    one in b of several: by a suffix automaton of a, in proportion to both lengths."""
+    after: list[dict[int, int]] = [{}]
+    link, size, end, last = [-1], [0], [0], 0
+    for p, x in enumerate(a):
+        new = len(after)
+        after.append({})
+        link.append(0)
+        size.append(size[last] + 1)
+        end.append(p + 1)
+        at, last = last, new
+        while at >= 0 and x not in after[at]:
+            after[at][x] = new
+            at = link[at]
+        if at < 0:
+            continue
+        to = after[at][x]
+        if size[to] != size[at] + 1:
+            copy = len(after)
+            after.append(dict(after[to]))
+            link.append(link[to])
+            size.append(size[at] + 1)
+            end.append(end[to])
+            link[to] = copy
+            while at >= 0 and after[at].get(x) == to:
+                after[at][x] = copy
+                at = link[at]
+            to = copy
+        link[new] = to
+    best, at, n = (0, 0, 0), 0, 0
+    for p, x in enumerate(b):
+        while at and x not in after[at]:
+            at = link[at]
+            n = size[at]
+        if x in after[at]:
+            at, n = after[at][x], n + 1
+        if n > best[2]:
+            best = (end[at] - n, p + 1 - n, n)
+    return best
+
+
+def repeated(a: list[int], b: list[int], words_a: list[int], words_b: list[int], least: int) -> set[int]:
+    """Positions of b in runs of `least` words or more that a holds, however often b has them."""
+    found: set[int] = set()
+    for back in (False, True):
+        held = {tuple(a[x:y]) for x, y in _spans_of(words_a, least, back)}
+        for x, y in _spans_of(words_b, least, back):
+            if tuple(b[x:y]) in held:
+                found.update(range(x, y))
+    return found
+
+
+def _spans_of(words: list[int], least: int, back: bool) -> Iterator[tuple[int, int]]:
+    begin, end = windows(np.array(words, np.int32), np.array([0, len(words)]), least, back)
+    return zip(begin.tolist(), end.tolist())
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Pairs of positions of equal lines, rising in both: equal heads and tails, then lines
-    that occur once on both sides as anchors, then the stretches between anchors."""
+    that occur once on both sides as anchors, then the stretches between anchors. Where nothing
+    is an anchor, the longest common run is one."""
     out: list[tuple[int, int]] = []
     stack = [(0, len(a), 0, len(b))]
     while stack:
@@ -156,7 +216,10 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         once = [(place[x], k + p) for p, x in enumerate(b[k:m]) if x in place]
         anchors = [once[p] for p in _rising([x for x, _ in once])]
         if not anchors:
-            continue
+            if in_a.keys().isdisjoint(in_b):
+                continue
+            x, y, n = longest_run(a[i:j], b[k:m])
+            anchors = [(i + x + p, k + y + p) for p in range(n)]
         for x, y in [*anchors, (j, m)]:
             stack.append((i, x, k, y))
             i, k = x + 1, y + 1
@@ -182,17 +245,25 @@ def aligned(a: list[int], b: list[int]) -> list[int]:
     return sorted(found)
 
 
-def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        first, later = batch.column("first_hashes"), batch.column("later_hashes")
-        rows, places = [], []
-        for r in range(batch.num_rows):
-            hit = aligned(first[r].values.to_pylist(), later[r].values.to_pylist())
-            rows += [r] * len(hit)
-            places += hit
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key").take(pa.array(rows, pa.int64())), pa.array(places, pa.int32())], ["key", "line"]
-        )
+def _align(block_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(n) for n in ("first_hashes", "later_hashes", "first_words", "later_words")]
+            rows, places = [], []
+            for r in range(batch.num_rows):
+                a, b = (c[r].values.to_pylist() for c in columns[:2])
+                hit = aligned(a, b)
+                both = set(a)
+                if len(hit) < sum(x in both for x in b):
+                    # Copies beyond the number that the first holder has.
+                    hit = hit + list(repeated(a, b, *(c[r].values.to_pylist() for c in columns[2:]), block_words) - set(hit))
+                rows += [r] * len(hit)
+                places += hit
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(pa.array(rows, pa.int64())), pa.array(places, pa.int32())], ["key", "line"]
+            )
+
+    return run
 
 
 def _spans(block_words: int):
@@ -252,11 +323,12 @@ def common_blocks(docs: DataFrame, pair_words: int = PAIR_WORDS, block_words: in
     held = cut_lineage(held.join(if_small(shared, shared.count(), 32), "h"))
     firsts = cut_lineage(held.groupBy("h").agg(F.min("key").alias("first")))
     pairs = cut_lineage(held.join(firsts, "h").filter("first < key").select("first", "key").distinct())
-    arrays = single.select(F.col("key").alias("k"), "hashes")
-    both = pairs.join(arrays.select("k", F.col("hashes").alias("later_hashes")), F.col("key") == F.col("k")).drop("k")
-    both = both.join(arrays.select("k", F.col("hashes").alias("first_hashes")), F.col("first") == F.col("k"))
-    hits = both.select("key", "first_hashes", "later_hashes").mapInArrow(
-        _align, T.StructType([T.StructField("key", key_type), T.StructField("line", T.IntegerType())])
+    later = single.select(F.col("key").alias("k"), F.col("hashes").alias("later_hashes"), F.col("words").alias("later_words"))
+    both = pairs.join(later, F.col("key") == F.col("k")).drop("k")
+    earlier = single.select(F.col("key").alias("k"), F.col("hashes").alias("first_hashes"), F.col("words").alias("first_words"))
+    both = both.join(earlier, F.col("first") == F.col("k"))
+    hits = both.select("key", "first_hashes", "later_hashes", "first_words", "later_words").mapInArrow(
+        _align(block_words), T.StructType([T.StructField("key", key_type), T.StructField("line", T.IntegerType())])
     )
     # Both arrays of a document have at most one entry for each of its own lines.
     found = hits.groupBy("key").agg(F.collect_set("line").alias("found"))

@@ -259,3 +259,19 @@ def test_the_first_holder_of_a_block_is_aligned(documents):
     got = {r.doc_id: r.text for r in line_dedup.drop_common_blocks(documents(list(texts.items()))).collect()}
     assert got[21] == "" and got[22] == ""
     assert all(got[i] == texts[i] for i in range(8))
+
+
+def test_blocks_without_an_anchor_are_aligned(documents):
+    x, y = 1, 2
+    assert line_dedup.aligned([x, y, x, y], [y, x, y, x]) == [0, 1, 2, 3]
+    assert line_dedup.aligned([x, x, y, y], [y, y, x, x]) == [0, 1, 2, 3]
+    rnd = random.Random(13)
+    for _ in range(300):
+        a, b = ([rnd.randint(0, 3) for _ in range(rnd.randint(0, 9))] for _ in range(2))
+        i, j, n = line_dedup.longest_run(a, b)
+        assert a[i : i + n] == b[j : j + n]
+        assert not any(a[p : p + n + 1] == b[q : q + n + 1] for p in range(len(a) - n) for q in range(len(b) - n))
+    one, two = words(rnd, 30) + ".", words(rnd, 12) + ".\n" + words(rnd, 16) + "."
+    rows = [(1, f"{one}\n{two}\n{one}\n{two}"), (2, f"{two}\n{one}\n{two}\n{one}"), (3, "\n".join([two, one] * 4)), (4, "no. " * 3 + "yes."), (5, "no. " * 40)]
+    got = {r.doc_id: r.text for r in line_dedup.drop_common_blocks(documents(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "", 3: "", 4: rows[3][1], 5: rows[4][1]}
