@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, packing, simhash, token_counts, toxicity, warc
+from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, merkle, packing, simhash, token_counts, toxicity, warc
 from revmill.llm.common import fold
 from revmill.session import scratch
 
@@ -97,6 +97,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the rows, by crc32 of the id, come to the audit without their line feeds."""
+    cut = F.when(fold(2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), audited={"text": cut})
+    folded = merkle.fold(F.col("audited_leaf"), F.col("path"))
+    return rows.select(
+        "doc_id",
+        *[merkle.as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        merkle.as_text(folded).alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -108,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
@@ -149,4 +164,54 @@ ORACLES: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_merkle": r"""
+        WITH RECURSIVE cut AS (
+            -- crc32 of the id, bit by bit: the first of each byte's eight steps takes the byte in.
+            SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                       lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda crc, b: xor(xor(crc, b) >> 1, (xor(crc, b) & 1) * 3988292384::BIGINT)), 4294967295) % 2 = 0 AS odd
+            FROM documents
+        ), fields AS (
+            SELECT doc_id, source, text, odd, replace(text, chr(10), '') AS cut_text,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+            FROM cut
+        ), leaves AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || CASE WHEN odd THEN coalesce(strlen(cut_text) || ':' || cut_text, '-')
+                                       ELSE coalesce(strlen(text) || ':' || text, '-') END) AS seen,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos
+            FROM fields
+        ), low AS (
+            SELECT source, 0 AS depth, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY source
+            UNION ALL
+            SELECT source, depth + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))
+            FROM low WHERE len(nodes) > 1
+        ), subroots AS (
+            SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM low WHERE len(nodes) = 1
+        ), high AS (
+            SELECT 0 AS depth, list(subroot ORDER BY pos) AS nodes FROM subroots
+            UNION ALL
+            SELECT depth + 1, list_transform(range(0, len(nodes), 3), lambda i: sha256(array_to_string(nodes[i + 1:i + 3], '')))
+            FROM high WHERE len(nodes) > 1
+        ), roots AS (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1),
+        steps AS (
+            SELECT doc_id, depth, nodes, (l.pos // (3 ** depth)::BIGINT) AS own
+            FROM leaves l JOIN low ON l.source IS NOT DISTINCT FROM low.source WHERE len(nodes) > 1
+            UNION ALL
+            SELECT doc_id, 1000 + depth, nodes, s.pos // (3 ** depth)::BIGINT
+            FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source, high WHERE len(nodes) > 1
+        ), sides AS (
+            SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS step,
+                   array_to_string(nodes[own // 3 * 3 + 1:own], '') AS before, array_to_string(nodes[own + 2:own // 3 * 3 + 3], '') AS after
+            FROM steps
+        ), folds AS (
+            SELECT doc_id, 0::BIGINT AS step, seen AS h FROM leaves
+            UNION ALL
+            SELECT f.doc_id, f.step + 1, sha256(before || h || after) FROM folds f JOIN sides s ON f.doc_id = s.doc_id AND s.step = f.step + 1
+        ), proofs AS (SELECT doc_id, string_agg(before || after, '' ORDER BY step) AS proof FROM sides GROUP BY doc_id),
+        ends AS (SELECT doc_id, arg_max(h, step) AS folded_root FROM folds GROUP BY doc_id)
+        SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+        FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), roots
+    """,
 }
