@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, merkle, packing, simhash, token_counts, toxicity, warc
+from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, marked_words, merkle, packing, simhash, token_counts, toxicity, warc
 from revmill.llm.common import fold
 from revmill.session import scratch
 
@@ -97,6 +97,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    codec = marked_words.build(docs, marked_words.default_model())
+    return marked_words.encode(docs, codec).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the rows, by crc32 of the id, come to the audit without their line feeds."""
     cut = F.when(fold(2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -122,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_marked_words": op12_marked_words,
     "op13_merkle": op13_merkle,
 }
 
