@@ -15,6 +15,7 @@ no bytes for unknown characters) have no such table; their texts go through the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +41,8 @@ SHARD_BYTES = 8 * 1024 * 1024
 # costs repeated rows only.
 REMEMBERED = 2_000_000
 
+_EDGE = re.compile(f"[^{MARK}]{MARK}")
+
 _models: dict[str, "Pieces"] = {}
 
 
@@ -112,12 +115,9 @@ def marked(text: str) -> str:
 def cut(text: str, size: int = CHARS) -> Iterator[str]:
     """A marked text in parts of about so many characters, each beginning with a word."""
     begin = 0
-    while len(text) - begin > size:
-        end = begin + size
-        while end < len(text) and not (text[end] == MARK and text[end - 1] != MARK):
-            end += 1
-        yield text[begin:end]
-        begin = end
+    while len(text) - begin > size and (edge := _EDGE.search(text, begin + size - 1)):
+        yield text[begin : edge.start() + 1]
+        begin = edge.start() + 1
     if begin < len(text):
         yield text[begin:]
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revmill.llm import bpe, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, marked_words, merkle, packing, simhash, token_counts, toxicity, warc
+from revmill.llm import bpe, collocations, decontam, exact_dedup, kd_shards, kneser_ney, line_dedup, marked_words, merkle, packing, simhash, token_counts, toxicity, warc
 from revmill.llm.common import fold
 from revmill.session import scratch
 
@@ -97,6 +97,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), min_count=100, max_words=5, top=2000)
+
+
 def op12_marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     codec = marked_words.build(docs, marked_words.default_model())
@@ -133,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_warc": op9_warc,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_collocations": op11_collocations,
     "op12_marked_words": op12_marked_words,
     "op13_merkle": op13_merkle,
 }
@@ -226,4 +231,39 @@ ORACLES: dict[str, str] = {
         SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
         FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN ends USING (doc_id) LEFT JOIN proofs USING (doc_id), roots
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), split AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ), totals AS (SELECT lang, sum(len(w)) AS n FROM split GROUP BY lang),
+        sizes AS (SELECT unnest(range(1, 6)) AS size),
+        frequent AS (
+            SELECT lang, size, phrase, count(*) AS a
+            FROM (SELECT lang, size, unnest(list_transform(range(len(w) - size + 1), lambda i: array_to_string(w[i + 1:i + size], ' '))) AS phrase
+                  FROM split, sizes WHERE len(w) >= size)
+            GROUP BY lang, size, phrase HAVING count(*) >= 100
+        ), candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM frequent WHERE size >= 2),
+        cuts AS (
+            SELECT lang, w, size, phrase, a, unnest(range(1, size)) AS k FROM candidates
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score
+            FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+            JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ') JOIN totals ON totals.lang = c.lang
+        ), weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), inner_phrases AS (
+            SELECT lang, array_to_string(w[s.at:s.at + s.m - 1], ' ') AS phrase, a
+            FROM candidates JOIN (SELECT m.size AS m, unnest(range(1, 5)) AS at FROM sizes m WHERE m.size >= 2) s
+              ON s.m < candidates.size AND s.at + s.m - 1 <= candidates.size
+        ), longest AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY lang, phrase)
+        SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase,
+               a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM weakest w LEFT JOIN longest USING (lang, phrase)
+        WHERE longer IS NULL OR 100 * longer < 100 * a
+        QUALIFY rank <= 2000
+    """,
 }
