@@ -15,7 +15,6 @@ often than the earlier one.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,27 +36,68 @@ BLOCK_WORDS = 25
 # A line counts as one word for so many characters at least, whether it has blanks or not.
 WORD_CHARS = 24
 
-_END = re.compile(r"[.!?]+[^\S\n]+|\n")
-# Scripts written without blanks between words: Thai to Myanmar, Khmer, kana and Han.
-_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+# Scripts written without blanks between words (Thai to Myanmar, Khmer, kana and
+# Han), and what the language counts as white space beyond ASCII.
+DENSE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3041, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+WIDE_SPACES = [c for c in range(128, 0x3001) if chr(c).isspace()]
 
 
-def cut_lines(text: str) -> list[tuple[int, int]]:
-    """Begin and end of each line that isn't blank; the end is where the next one begins."""
-    edges = [0, *(m.end() for m in _END.finditer(text))]
-    if edges[-1] != len(text):
-        edges.append(len(text))
-    return [(a, b) for a, b in zip(edges, edges[1:]) if not text[a:b].isspace()]
+def _before(marks: np.ndarray) -> np.ndarray:
+    """How many marks there are before each position, and before the end."""
+    out = np.zeros(len(marks) + 1, np.int32)
+    np.cumsum(marks, out=out[1:])
+    return out
 
 
-def count_words(lines: list[str]) -> list[int]:
-    """Words of each line. Each character of a script without blanks is a word."""
-    out = [max(len(x.split()), -(-len(x) // WORD_CHARS)) for x in lines]
-    if not all(map(str.isascii, lines)):
-        out = [n if x.isascii() else max(n, len(_DENSE.findall(x)) + len(_DENSE.sub(" ", x).split())) for n, x in zip(out, lines)]
+def _starts(inside: np.ndarray) -> np.ndarray:
+    out = inside.copy()
+    out[1:] &= ~inside[:-1]
     return out
 
 
+def cut_lines(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The lines that aren't blank, of all texts end to end: 64-bit hash and words of each, its
+    begin and end in its text, and where each text's lines begin. A line ends where the next
+    one begins; outer white space is no part of the hash.
+
+    Words stand between white space, each character of a script without blanks is one, and
+    WORD_CHARS characters hold one at least.
+    """
+    chars = vectext.Chars(texts, separator=10)
+    codes = chars.codes
+    space = vectext.ascii_space(codes) | ((codes >= 28) & (codes <= 31))
+    wide = np.flatnonzero(codes > 127)
+    space[wide] = np.isin(codes[wide], WIDE_SPACES)
+    feed = codes == 10
+    # An edge behind each line feed, and behind the blanks that follow a sentence's end.
+    begin, end = vectext.runs(space & ~feed)
+    last = codes[np.maximum(begin - 1, 0)]
+    closed = (begin > 0) & ((last == ord(".")) | (last == ord("!")) | (last == ord("?")))
+    edge = np.zeros(len(codes) + 1, bool)
+    edge[0] = True
+    edge[np.flatnonzero(feed) + 1] = True
+    edge[end[closed]] = True
+    edge = np.flatnonzero(edge)
+    solid = np.flatnonzero(~space)
+    at = np.searchsorted(solid, edge)
+    full = np.flatnonzero(at[1:] > at[:-1])
+    begin, end = edge[full], edge[full + 1]
+    head, tail = solid[at[full]], solid[at[full + 1] - 1] + 1
+    count = lambda marks: (lambda n: n[tail] - n[head])(_before(marks))
+    words = np.maximum(count(_starts(~space)), -(-(tail - head) // WORD_CHARS))
+    dense = np.zeros(len(codes), bool)
+    for a, b in DENSE:
+        dense[wide] |= (codes[wide] >= a) & (codes[wide] <= b)
+    if dense.any():
+        words = np.maximum(words, count(dense) + count(_starts(~space & ~dense)))
+    owner = chars.owners(begin)
+    first = chars.starts[owner]
+    # The separator that stands behind each text is no part of its last line.
+    end = np.minimum(end, chars.starts[owner + 1] - 1)
+    edges = np.searchsorted(begin, chars.starts)
+    return chars.hashes(head, tail), words, begin - first, end - first, edges
+
+
 def windows(words: np.ndarray, edges: np.ndarray, least: int, back: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of the shortest window of `least` words or more from each line onward, or
     with back up to each line; none crosses the edges between documents."""
@@ -89,30 +129,20 @@ def _keys(hashes: np.ndarray, words: np.ndarray, edges: np.ndarray, steps: list[
 
 def _lines(steps: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        digest = xxhash.xxh64_intdigest
         for batch in batches:
-            hashes, words, begins, ends, edges = [], [], [], [], [0]
-            for text in batch.column(1).to_pylist():
-                spans = cut_lines(text)
-                lines = [text[a:b].strip() for a, b in spans]
-                hashes += [digest(x.encode("utf-8", "surrogatepass")) for x in lines]
-                words += count_words(lines)
-                begins += [a for a, _ in spans]
-                ends += [b for _, b in spans]
-                edges.append(len(hashes))
-            flat, sizes, at = np.array(hashes, np.uint64), np.array(words, np.int32), np.array(edges, np.int32)
-            keys, firsts = _keys(flat, sizes, at, steps)
-            columns = [pa.array(x, kind) for x, kind in ((flat.view(np.int64), pa.int64()), (sizes, pa.int32()), (begins, pa.int32()), (ends, pa.int32()))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    *[pa.ListArray.from_arrays(pa.array(at), x) for x in columns],
-                    pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(keys)),
-                ],
-                ["key", "hashes", "words", "begins", "ends", "keys"],
-            )
+            texts = batch.column(1).to_pylist()
+            for a, b in vectext.small_batches(texts):
+                hashes, words, begins, ends, edges = cut_lines(texts[a:b])
+                keys, firsts = _keys(hashes, words, edges, steps)
+                columns = [pa.array(x, kind) for x, kind in ((hashes.view(np.int64), pa.int64()), (words, pa.int32()), (begins, pa.int32()), (ends, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a),
+                        *[pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in columns],
+                        pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(keys)),
+                    ],
+                    ["key", "hashes", "words", "begins", "ends", "keys"],
+                )
 
     return run
 
@@ -249,14 +279,19 @@ def _align(block_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(n) for n in ("first_hashes", "later_hashes", "first_words", "later_words")]
+            columns = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in columns]
             rows, places = [], []
             for r in range(batch.num_rows):
-                a, b = (c[r].values.to_pylist() for c in columns[:2])
-                hit = aligned(a, b)
-                both = set(a)
-                if len(hit) < sum(x in both for x in b):
-                    # Copies beyond the number that the first holder has.
-                    hit = hit + list(repeated(a, b, *(c[r].values.to_pylist() for c in columns[2:]), block_words) - set(hit))
+                a, b, *words = (values[at[r] : at[r + 1]] for at, values in columns)
+                if np.array_equal(a, b):
+                    hit = range(len(b))
+                else:
+                    a, b = a.tolist(), b.tolist()
+                    hit = aligned(a, b)
+                    both = set(a)
+                    if len(hit) < sum(x in both for x in b):
+                        # Copies beyond the number that the first holder has.
+                        hit += set(repeated(a, b, *(w.tolist() for w in words), block_words)) - set(hit)
                 rows += [r] * len(hit)
                 places += hit
             yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -232,6 +233,34 @@ def test_blocks_of_short_lines_are_cut(documents):
     assert got[3] == texts[3].replace(verse + "\n", "")
 
 
+def plain_lines(text):
+    """Hashed text, words, begin and end of each line, by regular expressions."""
+    dense = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+    edges = sorted({0, len(text), *(m.end() for m in re.finditer(r"[.!?]+[^\S\n]+|\n", text))})
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        x = text[a:b].strip()
+        if x:
+            n = max(len(x.split()), -(-len(x) // line_dedup.WORD_CHARS))
+            out.append((x, max(n, len(dense.findall(x)) + len(dense.sub(" ", x).split())), a, b))
+    return out
+
+
+def test_lines_equal_those_of_regular_expressions():
+    rnd = random.Random(14)
+    bits = ["a", "b c", "word", ".", "...", "!", "?", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "漢字", "ไท", "é", "x" * 50, "😀", "\U00020001"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 20))) for _ in range(4000)] + ["", "\n", ". ", "a.", "a. "]
+    hashes, words, begin, end, edges = line_dedup.cut_lines(texts)
+    names = {}
+    for i, text in enumerate(texts):
+        own = slice(edges[i], edges[i + 1])
+        want = plain_lines(text)
+        assert list(zip(words[own].tolist(), begin[own].tolist(), end[own].tolist())) == [w[1:] for w in want]
+        for h, (x, *_) in zip(hashes[own].tolist(), want):
+            assert names.setdefault(h, x) == x
+    assert len(set(names.values())) == len(names)
+
+
 def test_windows_cover_each_line_of_a_block():
     rnd = random.Random(10)
     for _ in range(200):
