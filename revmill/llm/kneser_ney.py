@@ -75,6 +75,15 @@ def _unplane(data: memoryview, dtype: str, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width).reshape(width, n).T).view(dtype).ravel()
 
 
+def _gaps(ascending: np.ndarray) -> bytes:
+    """Sorted hashes as their gaps, whose upper bytes are mostly zero."""
+    return _planes(np.diff(ascending, prepend=np.uint64(0)))
+
+
+def _from_gaps(data: memoryview, n: int) -> np.ndarray:
+    return np.cumsum(_unplane(data, "<u8", n), dtype=np.uint64)
+
+
 _zstd = pa.Codec("zstd", compression_level=1)
 
 
@@ -86,7 +95,7 @@ def pack_pairs(u: np.ndarray, w: np.ndarray, count: np.ndarray) -> bytes:
     raw = b"".join(
         [
             np.array([len(words), len(u)], "<u8").tobytes(),
-            words.tobytes(),
+            _gaps(words),
             _planes(np.diff(iu[order], prepend=0).astype("<u4")),
             _planes(iw[order].astype("<u4")),
             _planes(count[order].astype("<u8")),
@@ -98,7 +107,7 @@ def pack_pairs(u: np.ndarray, w: np.ndarray, count: np.ndarray) -> bytes:
 def unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw = memoryview(_zstd.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True))
     v, n = (int(x) for x in np.frombuffer(raw, "<u8", 2))
-    words = np.frombuffer(raw, np.uint64, v, 16)
+    words = _from_gaps(raw[16:], v)
     at = 16 + 8 * v
     iu = np.cumsum(_unplane(raw[at:], "<u4", n), dtype=np.int64)
     iw = _unplane(raw[at + 4 * n :], "<u4", n).astype(np.int64)
@@ -106,14 +115,14 @@ def unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def pack_words(h: np.ndarray, columns: np.ndarray) -> bytes:
-    raw = np.array([len(h)], "<u8").tobytes() + h.tobytes() + b"".join(_planes(c.astype("<u8")) for c in columns)
+    raw = np.array([len(h)], "<u8").tobytes() + _gaps(h) + b"".join(_planes(c.astype("<u8")) for c in columns)
     return len(raw).to_bytes(8, "little") + _zstd.compress(raw, asbytes=True)
 
 
 def unpack_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = memoryview(_zstd.decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True))
     n = int(np.frombuffer(raw, "<u8", 1)[0])
-    h = np.frombuffer(raw, np.uint64, n, 8)
+    h = _from_gaps(raw[8:], n)
     at = 8 + 8 * n
     return h, np.array([_unplane(raw[at + 8 * n * k :], "<u8", n).astype(np.int64) for k in range(WORD_COLUMNS)])
 
