@@ -77,13 +77,14 @@ def file_row(first: int, addresses: list[str], n: int) -> pa.RecordBatch:
     )
 
 
-def hash_files(folder: str, name: str):
-    """For mapInArrow: files of the hashes alone."""
+def hash_files(folder: str, name: str, *with_it: str):
+    """For mapInArrow: files of the hashes, and of the named columns (long) beside them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in stretches(batches):
-            hashes = table.column(name).to_numpy().astype(np.int64)
-            yield file_row(int(hashes[0]), [store.put(folder, "hash", hashes)], len(hashes))
+            arrays = [table.column(c).to_numpy().astype(np.int64) for c in (name, *with_it)]
+            addresses = [store.put(folder, c, array) for c, array in zip((name, *with_it), arrays)]
+            yield file_row(int(arrays[0][0]), addresses, len(arrays[0]))
 
     return run
 
@@ -104,8 +105,19 @@ def found(places: Places, wanted: np.ndarray) -> Iterator[tuple[list[str], np.nd
 
 
 def holds(places: Places, wanted: np.ndarray) -> np.ndarray:
-    """Which of the ascending distinct hashes are stored."""
-    out = np.zeros(len(wanted), bool)
-    for _, which, _ in found(places, wanted):
-        out[which] = True
-    return out
+    """Which hashes, in any order, are stored."""
+    return beside(places, wanted)[0]
+
+
+def beside(places: Places, wanted: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which hashes, in any order, are stored, and the numbers beside them (0 if not)."""
+    order = np.argsort(wanted)
+    known = np.zeros(len(wanted), bool)
+    columns = len(places.addresses[0]) - 1 if places.addresses else 0
+    numbers = [np.zeros(len(wanted), np.int64) for _ in range(columns)]
+    for addresses, which, rows in found(places, wanted[order]):
+        at = order[which]
+        known[at] = True
+        for column, address in zip(numbers, addresses[1:]):
+            column[at] = store.mapped(address, "i8")[rows]
+    return known, numbers

@@ -5,10 +5,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
-from revmill.llm import collocations, lookup
+from revmill.llm import collocations, lookup, packed
 
 
 def counts(rows, most=5):
@@ -67,11 +67,12 @@ def corpus(n, seed):
     return rows + [("en", None), (None, ""), ("fr", " .\t"), ("fr", None), ("en", "tail end")]
 
 
-@pytest.mark.parametrize("shard_words", [1, 300, 10**9])
-@pytest.mark.parametrize("least,percent,top", [(1, 100, 50), (3, 100, 2000), (12, 80, 20), (10**6, 100, 10)])
-def test_results_equal_brute_force(spark, shard_words, least, percent, top):
+@pytest.mark.parametrize(
+    "shard_chars,least,percent,top", [(2000, 1, 100, 50), (1, 3, 100, 2000), (2000, 12, 80, 20), (10**9, 3, 90, 40), (2000, 10**6, 100, 10)]
+)
+def test_results_equal_brute_force(spark, shard_chars, least, percent, top):
     rows = corpus(60 if least == 1 else 300, least)
-    got = collocations.collocations(docs_of(spark, rows), least, 5, percent, top, shard_words)
+    got = collocations.collocations(docs_of(spark, rows), least, 5, percent, top, shard_chars)
     assert sorted(map(tuple, got.collect())) == brute(rows, least, 5, percent, top)
 
 
@@ -79,9 +80,9 @@ def test_frequent_phrases_of_shards_that_differ(spark):
     """A phrase that a few shards hold alone, and one that each shard holds a little of."""
     rows = [("en", "rare pair " * 40)] + [("en", f"thin spread w{i} w{i + 1} w{i + 2}") for i in range(200)]
     f, n = counts(rows)
-    frequent, langs = collocations.frequent_phrases(docs_of(spark, rows, 7), 40, 5, 50)
+    frequent, langs = collocations.frequent_phrases(docs_of(spark, rows, 7), 40, 5, 300)
     want = sorted(("en", len(w), " ".join(w), a) for (_, w), a in f.items() if a >= 40)
-    assert sorted(map(tuple, frequent.collect())) == want and [tuple(r) for r in langs.collect()] == [("en", n["en"])]
+    assert sorted((r.lang, r.size, r.phrase, r.a) for r in frequent.collect()) == want and [tuple(r) for r in langs.collect()] == [("en", n["en"])]
 
 
 def test_local_supports_add_up():
@@ -93,6 +94,24 @@ def test_local_supports_add_up():
         assert sum(x - 1 for x in local) < least
 
 
+def test_the_rest_of_a_task_is_no_small_shard(spark):
+    def sizes(chars):
+        batch = pa.RecordBatch.from_arrays([pa.array(["en"] * chars), pa.array(["x"] * chars), pa.array([chars] * chars)], ["lang", "text", "total"])
+        return [sum(s.chars) for s in collocations.shards(iter([batch.slice(i, 1) for i in range(chars)]), 10)]
+
+    assert sizes(0) == [] and sizes(3) == [3] and sizes(10) == [10] and sizes(14) == [14]
+    assert sizes(15) == [10, 5] and sizes(24) == [10, 14] and sizes(25) == [10, 10, 5]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3])
+def test_shorter_phrases_alone(spark, most):
+    rows = corpus(120, 5)
+    f, _ = counts(rows, most)
+    frequent, _ = collocations.frequent_phrases(docs_of(spark, rows), 6, most, 1500)
+    want = sorted((lang, len(w), " ".join(w), a) for (lang, w), a in f.items() if a >= 6)
+    assert sorted((r.lang, r.size, r.phrase, r.a) for r in frequent.collect()) == want
+
+
 def test_odd_rows(odd, none):
     rows = [(r.lang, r.text) for r in odd.collect()]
     got = collocations.collocations(odd, 2, 3, 100, 100_000)
@@ -100,11 +119,11 @@ def test_odd_rows(odd, none):
     assert collocations.collocations(none).collect() == []
 
 
-def test_ranks_of_parts_join(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "RANKED", 20)
+def test_ranks_of_parts_join(spark):
     rows = corpus(200, 7)
-    got = collocations.collocations(docs_of(spark, rows), 4, 5, 100, 15)
-    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 5, 100, 15)
+    for top in (1, 15):
+        got = collocations.collocations(docs_of(spark, rows), 4, 5, 100, top)
+        assert sorted(map(tuple, got.collect())) == brute(rows, 4, 5, 100, top)
 
 
 def test_scores_beyond_64_bits(spark):
@@ -118,19 +137,35 @@ def test_hash_files_hold_every_hash(spark, tmp_path):
     rnd = random.Random(2)
     values = sorted({rnd.getrandbits(64) - (1 << 63) for _ in range(5000)} | {-(1 << 63), -1, 0, 1, (1 << 63) - 1})
     df = lookup.dealt(spark.createDataFrame([(v,) for v in values], "hash bigint"), 7, "hash").sortWithinPartitions("shard", "hash")
-    places = lookup.written(df.mapInArrow(lookup.hash_files(str(tmp_path), "hash"), lookup.FILES))
+    places = lookup.written(df.withColumn("v", df.hash % 1000).mapInArrow(lookup.hash_files(str(tmp_path), "hash", "v"), lookup.FILES))
     assert places.rows == len(values) and (np.diff(places.first) > 0).all() and len(places.first) == 7
     others = {rnd.getrandbits(64) - (1 << 63) for _ in range(5000)}
-    wanted = np.array(sorted(others | set(values)), np.int64)
-    assert (lookup.holds(places, wanted) == np.isin(wanted, values)).all()
+    wanted = list(others | set(values))
+    rnd.shuffle(wanted)
+    wanted = np.array(wanted, np.int64)
+    known, (beside,) = lookup.beside(places, wanted)
+    assert (known == np.isin(wanted, values)).all() and (lookup.holds(places, wanted) == known).all()
+    assert (beside == np.where(known, np.fmod(wanted, 1000), 0)).all()
     assert not lookup.holds(lookup.Places(np.zeros(0, np.int64), [], 0), wanted).any()
 
 
+def test_packed_columns_come_back():
+    rnd = np.random.default_rng(4)
+    for n in (0, 1, 2, 5000):
+        hashes = np.sort(rnd.integers(-(2**63), 2**63, n, np.int64))
+        beside = [rnd.integers(0, 2**32, n, np.uint32), np.arange(n, dtype=np.uint16), rnd.integers(-9, 9, n)]
+        got = packed.unpack(packed.pack(hashes, *beside))
+        assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(got, [hashes, *beside], strict=True))
+
+
 def test_shards_and_their_phrases_are_whole(spark):
-    shard = collocations.Shard()
+    shard = collocations.Shard(with_text=True)
     shard.add(["A b\tc, d", ""], ["en", "de"], [8, 1])
     shard.add(["É  F g"], ["en"], [8])
     shard.close()
     assert shard.words == 7 and shard.phrase(np.array([0, 4]), 3) == ["a b c", "É f g"]
-    kept = list(shard.levels(5, lambda h, c, lang: np.ones(len(h), bool)))
-    assert [len(h) for _, h, _, _ in kept] == [7, 4, 2]
+    kept = Counter()
+    for size, hashes, count, example in shard.levels(5, lambda size, h, c, lang: np.ones(len(h), bool)):
+        kept[size] += len(hashes)
+        assert len(hashes) == len(count) == len(example)
+    assert kept == {1: 7, 2: 4, 3: 2}
