@@ -672,3 +672,11 @@ ORACLES: dict[str, str] = {
         SELECT table_name, row_count, CAST(ids AS BIGINT) AS ids, ROUND(CAST(amount AS DOUBLE), 2) AS amount
         FROM found""",
 }
+# The same answers, asked for as SQL text.
+ORACLES |= {
+    "sql_segment_share": ORACLES["q2_segment_share"],
+    "sql_segment_changes": ORACLES["q3_segment_changes"],
+    "sql_top_customers": ORACLES["q4_top_customers"],
+    "sql_always_active_top": ORACLES["q5_whole_periods"],
+    "sql_star_tables": ORACLES["csv_scan"],
+}

@@ -172,11 +172,68 @@ def date_spine(spark, sf_dir):
     )
 
 
+def _sql(spark, name, views, params=None):
+    return files.run_sql_file(spark, Path(plans.__file__).parent / "sql" / name, views, params)
+
+
+def _star_views(spark, sf_dir):
+    return {"customers": star.customers(spark, sf_dir), "traffic": star.traffic(spark, sf_dir)}
+
+
 @query
 def sql_file_question(spark, sf_dir):
-    text = Path(plans.__file__).parent / "sql" / "industry_exposure.sql"
-    views = {"customers": star.customers(spark, sf_dir), "traffic": star.traffic(spark, sf_dir)}
-    return files.run_sql_file(spark, text, views, {"min_customers": 1})
+    return _sql(spark, "industry_exposure.sql", _star_views(spark, sf_dir), {"min_customers": 1})
+
+
+@query
+def sql_segment_share(spark, sf_dir):
+    return _sql(spark, "segment_share.sql", {"customers": star.customers(spark, sf_dir)})
+
+
+@query
+def sql_segment_changes(spark, sf_dir):
+    """By account, as customers of different segments share one."""
+    raw = {"customers": star.raw_customers(spark, sf_dir), "traffic": star.raw_traffic(spark, sf_dir)}
+    views = {
+        name: df.drop("customer_id").withColumnRenamed("account_id", "customer_id")
+        for name, df in raw.items()
+    }
+    changed = _sql(spark, "segment_changes.sql", views, {"as_of": AS_OF, "months": 12})
+    return changed.withColumnRenamed("customer_id", "account_id")
+
+
+@query
+def sql_top_customers(spark, sf_dir):
+    return _sql(spark, "top_customers.sql", _star_views(spark, sf_dir), {"top": 20})
+
+
+@query
+def sql_always_active_top(spark, sf_dir):
+    """Industries in place of customers, as these are densely active."""
+    owners = star.customers(spark, sf_dir).select("customer_id", "industry")
+    sent = joins.lookup(star.traffic(spark, sf_dir), owners, "customer_id")
+    views = {
+        "customers": owners.select(F.col("industry").alias("customer_id")).distinct(),
+        "traffic": sent.drop("customer_id").withColumnRenamed("industry", "customer_id"),
+    }
+    params = {"fraction": "0.1", "as_of": AS_OF, "months": 12}
+    top = _sql(spark, "always_active_top.sql", views, params)
+    return top.withColumnRenamed("customer_id", "industry")
+
+
+@query
+def sql_star_tables(spark, sf_dir):
+    """Catalog tables from SQL text, made once though asked for twice; rows without
+    interactions leave that column to its default."""
+    path = scratch(spark, "catalog")
+    schema = path.rpartition("/")[2].replace("-", "_")
+    for _ in range(2):
+        _sql(spark, "star.sql", {}, {"schema": schema, "path": path})
+    table = f"{schema}.traffic"
+    traffic = star.traffic(spark, sf_dir)
+    sinks.append_rows(traffic.where("interactions_count > 0"), table)
+    sinks.append_rows(traffic.where("interactions_count = 0").drop("interactions_count"), table)
+    return files.read_table(spark, table)
 
 
 # Sinks and tables

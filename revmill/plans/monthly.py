@@ -80,27 +80,32 @@ def write_star(
     against what was written. An unreadable line, or an empty or negative value where the
     table allows none, raises and leaves the previous star in place; ``fill_defaults``
     gives empty values the column's default instead."""
-    customer_rows = _readable("customers", read_raw(spark, in_dir, "customers", model.CUSTOMERS))
-    channel_rows = _readable("channels", read_raw(spark, in_dir, "channels", model.CHANNELS))
+    customer_rows, channel_rows = sinks.together(
+        lambda: _readable("customers", read_raw(spark, in_dir, "customers", model.CUSTOMERS)),
+        lambda: _readable("channels", read_raw(spark, in_dir, "channels", model.CHANNELS)),
+    )
     traffic_rows = read_raw(spark, in_dir, "traffic", model.TRAFFIC)
     if fill_defaults:
         customer_rows = contracts.apply_defaults(customer_rows, {"created_date": as_of.date()})
         traffic_rows = contracts.apply_defaults(traffic_rows, model.TRAFFIC_DEFAULTS)
     unreadable = {joins.UNREADABLE: F.col(files.BAD_ROW).isNotNull()}
     with sinks.publication(spark) as tables:
-        customers = tables.stage(f"{out_dir}/customers", load.load_customers(customer_rows))
-        channels = tables.stage(f"{out_dir}/channels", load.load_channels(channel_rows))
+        customers, channels = sinks.together(
+            lambda: tables.stage(f"{out_dir}/customers", load.load_customers(customer_rows)),
+            lambda: tables.stage(f"{out_dir}/channels", load.load_channels(channel_rows)),
+        )
         rejected = joins.rejects(traffic_rows, customers, channels, ["seq"], also=unreadable)
-        left_out = tables.stage(f"{out_dir}/traffic_rejects", rejected.drop(files.BAD_ROW))
+        accepted = load.load_traffic(traffic_rows, customers, channels)
+        left_out, traffic = sinks.together(
+            lambda: tables.stage(f"{out_dir}/traffic_rejects", rejected.drop(files.BAD_ROW)),
+            lambda: tables.stage(f"{out_dir}/traffic", _by_month(accepted), "send_month"),
+        )
         _raise_unreadable("traffic", left_out.where(F.col("reason") == joins.UNREADABLE).count())
-        traffic = tables.stage(
-            f"{out_dir}/traffic",
-            _by_month(load.load_traffic(traffic_rows, customers, channels)),
-            partition_by="send_month",
+        sinks.together(
+            lambda: load.check_table("customers", customers, model.CUSTOMERS),
+            lambda: load.check_table("channels", channels, model.CHANNELS),
+            lambda: load.check_table("traffic", traffic, model.TRAFFIC),
         )
-        load.check_table("customers", customers, model.CUSTOMERS)
-        load.check_table("channels", channels, model.CHANNELS)
-        load.check_table("traffic", traffic, model.TRAFFIC)
 
 
 def write_metrics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
@@ -149,10 +154,11 @@ def write_questions(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
 def write_statistics(spark: SparkSession, out_dir: str, as_of: datetime) -> None:
     exposure = read(spark, out_dir, EXPOSURE).drop("last_updated")
     with sinks.publication(spark) as tables:
-        described = statistics.column_statistics(exposure, EXPOSURE.replace("/", "."))
-        categories = model.conform(
-            statistics.industry_categories(exposure), model.INDUSTRY_EXPOSURE_EXTENDED
+        described, categories = sinks.together(
+            lambda: statistics.column_statistics(exposure, EXPOSURE.replace("/", ".")),
+            lambda: statistics.industry_categories(exposure),
         )
+        categories = model.conform(categories, model.INDUSTRY_EXPOSURE_EXTENDED)
         tables.stage_all(
             {
                 f"{out_dir}/descriptive_statistics/column_statistics": sinks.stamped(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
+from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,14 @@ def write_partitioned(df: DataFrame, path: str, by: str, order: str | None = Non
     gathered.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
 
 
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Runs steps that do not depend on each other as concurrent jobs. All of them end before
+    the first error of them is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = [pool.submit(step) for step in steps]
+    return [step.result() for step in running]
+
+
 JOURNAL = "__commit_"
 
 
@@ -73,9 +83,7 @@ class Publication:
         """Stages tables that do not depend on each other, as concurrent jobs."""
         for path in tables:
             self._recover(path)
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            for done in [pool.submit(self.stage, path, df) for path, df in tables.items()]:
-                done.result()
+        together(*[partial(self.stage, path, df) for path, df in tables.items()])
 
     def _move(self, source: str, target: str) -> None:
         fs, location = file_system(self.spark, source)
@@ -250,6 +258,17 @@ def ensure_table(
     return spark.read.schema(schema).parquet(path)
 
 
+def append_rows(df: DataFrame, table: str) -> None:
+    """Appends rows to a table of the catalog, by column name. A column that df lacks gets the
+    table's default, or NULL where it has none."""
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    df.sparkSession.sql(
+        f"INSERT INTO IDENTIFIER(:table) ({columns}) SELECT {columns} FROM {{rows}}",
+        args={"table": table},
+        rows=df,
+    )
+
+
 def describe_table(df: DataFrame) -> DataFrame:
     """One row per column: position, name, type, whether NULL is allowed, and how many
     NULLs there are, counted in one pass."""

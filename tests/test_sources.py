@@ -3,6 +3,7 @@ from __future__ import annotations
 import subprocess
 import sys
 from datetime import date
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -75,6 +76,47 @@ def test_sql_text_runs_its_statements(spark, tmp_path):
         assert rows(got) == [(13,), (14,)]
 
 
+SQL = ROOT / "revmill" / "plans" / "sql"
+
+
+def test_catalog_tables_fill_their_defaults(spark, tmp_path):
+    params = {"schema": "star_defaults", "path": str(tmp_path / "star")}
+    files.run_sql_file(spark, SQL / "star.sql", {}, params)
+    row = [(1, d("2024-01-31"), 7, 7, 2)]
+    few = spark.createDataFrame(row, "traffic_id bigint, send_date date, account_id bigint, customer_id bigint, channel_id bigint")
+    sinks.append_rows(few, "star_defaults.traffic")
+    # A table that is there stays as it is.
+    files.run_sql_file(spark, SQL / "star.sql", {}, params)
+    sinks.append_rows(few.withColumn("revenue_eur", F.lit("2.50").cast("decimal(12,2)")), "star_defaults.traffic")
+    got = files.read_table(spark, "star_defaults.traffic")
+    assert sorted((r.interactions_count, str(r.revenue_eur)) for r in got.collect()) == [(0, "0.00"), (0, "2.50")]
+    sinks.append_rows(spark.createDataFrame([(5,)], "customer_id bigint"), "star_defaults.customers_revenue_by_period")
+    periods = files.read_table(spark, "star_defaults.customers_revenue_by_period").first()
+    assert (str(periods.revenue_ytd), periods.revenue_increase_pct_qoq) == ("0.00", None)
+    assert periods.last_updated is not None
+    spark.sql("DROP SCHEMA star_defaults CASCADE")
+
+
+def test_sql_texts_of_the_questions(spark):
+    people = [(1, "a", "x"), (2, "b", "x"), (3, "b", "y"), (3, "a", "y"), (4, "c", "y")]
+    sent = [(m, c, 10 * c) for c in (1, 3) for m in range(1, 13)] + [(6, 2, 10**6), (2, 4, 5), (1, 9, 10**9)]
+    views = {
+        "customers": spark.createDataFrame(people, "customer_id bigint, segment string, industry string"),
+        "traffic": spark.createDataFrame(
+            [(d(f"2023-{m:02d}-15"), c, Decimal(v)) for m, c, v in sent], "send_date date, customer_id bigint, revenue_eur decimal(12,2)"
+        ),
+    }
+    run = lambda name, **params: [tuple(r) for r in files.run_sql_file(spark, SQL / name, views, params).collect()]
+    assert run("segment_share.sql") == [("a", 2, Decimal("40.00")), ("b", 2, Decimal("40.00")), ("c", 1, Decimal("20.00"))]
+    assert run("segment_changes.sql", as_of="2024-01-20", months=12) == [(3,)]
+    assert run("segment_changes.sql", as_of="2024-12-16", months=12) == []
+    assert run("top_customers.sql", top=2) == [(2, Decimal(10**6)), (3, Decimal(360))]
+    # Four known customers of five rows: half of five is three, of which two are always active.
+    assert run("always_active_top.sql", fraction="0.5", as_of="2024-01-20", months=12) == [(3, Decimal(360)), (1, Decimal(120))]
+    assert run("always_active_top.sql", fraction="0.3", as_of="2024-01-20", months=12) == [(3, Decimal(360))]
+    assert run("always_active_top.sql", fraction="1", as_of="2024-02-20", months=12) == []
+
+
 def test_files_come_back(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, d("2024-01-01"), 'a "quoted", text')], "i int, day date, s string"
