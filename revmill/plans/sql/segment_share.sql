@@ -1,13 +1,9 @@
 -- Customers per segment and their share of all, in percent.
-WITH counted AS (
-    SELECT segment, COUNT(*) AS client_count
-    FROM customers
-    GROUP BY segment
-)
 SELECT
     segment,
-    client_count,
-    CAST(ROUND(100 * CAST(client_count AS DECIMAL(18, 0)) / SUM(client_count) OVER (), 2) AS DECIMAL(5, 2))
+    COUNT(*) AS client_count,
+    CAST(ROUND(100 * CAST(COUNT(*) AS DECIMAL(18, 0)) / (SELECT COUNT(*) FROM customers), 2) AS DECIMAL(5, 2))
         AS percentage_share
-FROM counted
+FROM customers
+GROUP BY segment
 ORDER BY client_count DESC, segment;
