@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revmill.llm import bpe, decontam, line_dedup, packing, simhash, toxicity
-from revmill.llm.common import fold
+from revmill.llm.common import bound_batches, fold
 from revmill.session import cut_lineage
 
 SEQUENCE = 2048
@@ -20,6 +20,7 @@ END_ID = 0
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more go."""
+    bound_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, labels, fold(5) != 0)
 
@@ -27,6 +28,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document holds are cut from the later one. A document of which
     nothing is left by that goes; n_chars follows the text."""
+    bound_batches(spark)
     cut = line_dedup.drop_common_blocks(docs, prefix="__cut_")
     lost = F.col("__cut_removed_lines") > 0
     left = cut.filter(~lost | (F.trim("text") != ""))
@@ -36,6 +38,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that with the smallest id."""
+    bound_batches(spark)
     return simhash.keep_one(docs, size=3, max_bits=2)
 
 
@@ -46,6 +49,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
+    bound_batches(spark)
     return packing.pack_documents(docs, bpe.default_tokenizer(), SEQUENCE, END_ID)
 
 

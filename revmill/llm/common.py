@@ -15,6 +15,9 @@ from revmill.session import cut_lineage
 # Beyond it the same join shuffles both sides.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Texts reach a worker in batches of about so many bytes, or of one row if that is longer.
+BATCH_BYTES = 4 * 1024 * 1024
+
 _shipped: set[str] = set()
 
 
@@ -36,6 +39,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Lowers the session's bound on the bytes of an Arrow batch to this one. Batches of ten
+    thousand long rows otherwise lie in memory several times, on either side."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= most:
+        spark.conf.set(name, f"{most}b")
+
+
 def text_of(column: str = "text") -> Column:
     """A null text counts as an empty one."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from revmill.llm import line_dedup, queries, simhash
+from revmill.llm import common, line_dedup, queries, simhash
 from revmill.session import scratch
 
 
@@ -84,3 +84,13 @@ def test_empty_tables(spark, corpus):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(f"{path}/{name}.parquet")
     assert corpus_pipeline.run(spark, path).collect() == []
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    for given, want in (("64m", "4194304b"), ("-1", "4194304b"), ("1k", "1k")):
+        spark.conf.set(name, given)
+        common.bound_batches(spark)
+        assert spark.conf.get(name) == want
+    spark.conf.set(name, before)
