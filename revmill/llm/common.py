@@ -44,7 +44,7 @@ def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     thousand long rows otherwise lie in memory several times, on either side."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
-    if not 0 < now <= most:
+    if now > most:
         spark.conf.set(name, f"{most}b")
 
 
