@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revmill.llm import lookup, packed
-from revmill.llm.common import if_small, ship, text_of
+from revmill.llm.common import bound_batches, if_small, ship, text_of
 from revmill.llm.vectext import Chars, combine, mix64, runs, small_batches
 from revmill.session import cut_lineage, scratch
 
@@ -77,7 +77,7 @@ class Shard:
                 self.chars.append(0)
                 self.totals.append(total)
             self.chars[self.langs[lang]] += len(text)
-        lang = np.fromiter((self.langs[x] for x in langs), np.int16, len(langs))[chars.owners(begin)]
+        lang = np.fromiter((self.langs[x] for x in langs), np.int32, len(langs))[chars.owners(begin)]
         keys = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x in self.langs], np.uint64)
         hashes = combine(keys[lang], chars.hashes(begin, end))
         piece = np.cumsum(ends, dtype=np.int32)
@@ -306,7 +306,7 @@ def _counter(stored, low: int, high: int, min_count: int, shard_chars: int, rang
                     continue
                 key = _key(shard, at, size)
                 rest = np.flatnonzero(count < least[shard.lang[at]])
-                parcels.add(np.zeros(len(rest), np.int16), hashes[rest], key[rest], count[rest])
+                parcels.add(np.zeros(len(rest), np.int32), hashes[rest], key[rest], count[rest])
                 tells = np.flatnonzero(owner == own)
                 texts = shard.phrase(at[tells], size)
                 yield rows(len(tells), hash=hashes[tells].view(np.int64), key=key[tells].astype(np.int64), size=np.full(len(tells), size), phrase=texts)
@@ -341,6 +341,7 @@ def frequent_phrases(docs: DataFrame, min_count: int, max_words: int, shard_char
     """
     spark = docs.sparkSession
     ship(spark)
+    bound_batches(spark)
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), text_of().alias("text"))
     sizes = cut_lineage(texts.groupBy("lang").agg(F.sum(F.char_length("text").cast("long")).alias("total")))
     n_langs = sizes.count()
